@@ -12,13 +12,20 @@ from riskloom.schema import AMOUNT_COLUMNS, CODE_COLUMNS, LABEL, POLICY_MIN_DATE
 _NUMBER_FIELDS = {*AMOUNT_COLUMNS, *CODE_COLUMNS, "PROD_YEAR"}
 
 
+def _number_text(df: DataFrame, name: str) -> Column:
+    """One spelling per number ("2007.0" and "2007" become "2007"); other text stays as it is."""
+    number = number_column(df, name)
+    whole = F.when((number == F.floor(number)) & (F.abs(number) < 1e15), number.cast("long").cast("string"))
+    return F.coalesce(whole, number.cast("string"), F.col(name))
+
+
 def dedup(df: DataFrame) -> DataFrame:
     """Drop exact copies (NULL equals NULL); number fields compare by value, dates by their text.
 
     Copies collapse on the map side first, so one hot row costs one row per task in the shuffle.
     """
     unified = {
-        field.name: F.coalesce(number_column(df, field.name).cast("string"), F.col(field.name))
+        field.name: _number_text(df, field.name)
         for field in df.schema.fields
         if field.name in _NUMBER_FIELDS and isinstance(field.dataType, StringType)
     }

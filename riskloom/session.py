@@ -24,6 +24,14 @@ def local_session(cores: str = "*", app: str = "riskloom") -> SparkSession:
     )
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """Runtime settings that the wide policy projections profit from on any cluster."""
+    # The JVM does not compile methods of more than 8000 bytes; beyond that size the generated code of a
+    # whole stage is interpreted and slower than one method per expression.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only in local mode."""
     context = spark.sparkContext
