@@ -21,7 +21,7 @@ from riskloom.session import materialize, scratch_path, tuned
 from riskloom.sources.models import load_model, save_model
 from riskloom.sources.order_policies import ROW_IDS, order_policies, scored_policies
 from riskloom.sources.policies import read_policies, write_table_csv
-from riskloom.sources.reports import metrics_struct, read_report, top_x_document, write_report
+from riskloom.sources.reports import metrics_struct, read_report, read_top_x, top_x_document, write_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,9 +115,7 @@ def _(spark, folder):
     scored = _distinct_scored(spark, folder)
     top = ranking.top_x_report(scored, "y", "p", key=_key(scored))
     write_report(top_x_document(top, ranking.threshold_baseline(scored, "y", "p", THRESHOLD)), path)
-    fields = "accuracy double, precision double, recall double, f1 double, top_pct double, k bigint, coverage double"
-    base = "accuracy double, precision double, recall double, f1 double, threshold double, n_positive bigint, n_total bigint"
-    read = spark.read.schema(f"baseline struct<{base}>, top_x_results array<struct<{fields}>>").json(path)
+    read = read_top_x(spark, path)
     return _rounded(
         read.select("baseline.n_positive", "baseline.n_total", F.inline("top_x_results")).select(
             "n_positive", "n_total", "top_pct", "k", "precision", "recall", "coverage"
@@ -226,7 +224,8 @@ for _i, _column in enumerate(DERIVED, start=1):
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.with_claim_label(_distinct(spark, folder)).select(*ROW_IDS, LABEL)
+    """Keys and labels of the distinct rows, kept: a split reads them three times."""
+    return materialize(cleaning.with_claim_label(_distinct(spark, folder)).select(*ROW_IDS, LABEL))
 
 
 @query("d1_stratified_split")
@@ -258,7 +257,8 @@ def _(spark, folder):
 
 @query("e1_impute_median")
 def _(spark, folder):
-    return _rounded(preparation.impute_median(_features(spark, folder), NUMERIC).select(*ROW_IDS, *NUMERIC))
+    rows = materialize(_features(spark, folder).select(*ROW_IDS, *NUMERIC))
+    return _rounded(preparation.impute_median(rows, NUMERIC))
 
 
 @query("e2_impute_mode")
@@ -277,7 +277,7 @@ def _(spark, folder):
 
 
 def _assembled(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _features(spark, folder)
+    rows = materialize(_features(spark, folder))
     return Pipeline(stages=preparation.preparation_stages()).fit(rows).transform(rows)
 
 
@@ -297,7 +297,7 @@ def _(spark, folder):
 def _(spark, folder):
     """Preparation learned from the training rows only, applied to all rows."""
     rows = policy_features(_distinct(spark, folder))
-    rows = select_features(cleaning.with_claim_label(rows), *ROW_IDS, LABEL)
+    rows = materialize(select_features(cleaning.with_claim_label(rows), *ROW_IDS, LABEL))
     rows = sampling.stratified_split(rows, LABEL, key=_key(rows))
     fitted = Pipeline(stages=preparation.preparation_stages()).fit(rows.filter("split = 'train'"))
     out = fitted.transform(rows)
@@ -425,7 +425,7 @@ def _(spark, folder):
 
 @query("g12_cv_summary")
 def _(spark, folder):
-    rows = _distinct_scored(spark, folder).select(*ROW_IDS, "y", "p")
+    rows = materialize(_distinct_scored(spark, folder).select(*ROW_IDS, "y", "p"))
     folds = sampling.stratified_kfold(rows, "y", key=_key(rows))
     return _rounded(metrics.cv_summary(metrics.pr_auc(folds, "y", "p", ["fold"])))
 

@@ -9,28 +9,26 @@ from pyspark.sql.types import StringType
 from riskloom.functions.parsing import number_column, parse_code, parse_policy_date, safe_ratio
 from riskloom.schema import CODE_COLUMNS, FEATURES, RAW_NUMERIC, require_columns
 
-_PARSED = "__parsed"
+_PARSED = "__parsed_"
 
 
 def policy_features(df: DataFrame) -> DataFrame:
     """Adds the derived columns and leaves the inputs as they came.
 
-    Every dirty field is parsed once into a struct; the features read the struct, which stays a
-    separate projection because parsing is too dear to repeat.
+    Every dirty field is parsed once, into a column of its own: Catalyst keeps a projection whose
+    results are used several times apart, so no feature repeats the parsing.
     """
     require_columns(df.columns)
-    df = df.withColumn(
-        _PARSED,
-        F.struct(
-            parse_policy_date(F.col("INSR_BEGIN")).alias("begin"),
-            parse_policy_date(F.col("INSR_END")).alias("end"),
-            *[number_column(df, c).alias(c) for c in [*RAW_NUMERIC, "PROD_YEAR"]],
-        ),
-    )
+    parsers = {
+        "begin": parse_policy_date(F.col("INSR_BEGIN")),
+        "end": parse_policy_date(F.col("INSR_END")),
+        **{c: number_column(df, c) for c in [*RAW_NUMERIC, "PROD_YEAR"]},
+    }
 
     def parsed(name: str):
-        return F.col(f"{_PARSED}.{name}")
+        return F.col(_PARSED + name)
 
+    df = df.withColumns({_PARSED + name: value for name, value in parsers.items()})
     begin, end = parsed("begin"), parsed("end")
     value, premium, seats = parsed("INSURED_VALUE"), parsed("PREMIUM"), parsed("SEATS_NUM")
     days = F.datediff(end, begin)
@@ -53,7 +51,7 @@ def policy_features(df: DataFrame) -> DataFrame:
             "PREMIUM_PER_DAY": safe_ratio(premium, days.cast("double")),
             "AGE_BY_VALUE": safe_ratio(age, value + F.lit(1.0)),
         }
-    ).drop(_PARSED)
+    ).drop(*[_PARSED + name for name in parsers])
 
 
 def select_features(df: DataFrame, *keep: str) -> DataFrame:

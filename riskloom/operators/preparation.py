@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSizeHint, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -161,12 +161,8 @@ def align_width(df: DataFrame, column: str, width: int, out: str) -> DataFrame:
         return df.withColumn(out, F.col(column))
     if have > width:
         return VectorSlicer(inputCol=column, outputCol=out, indices=list(range(width))).transform(df)
-    padding = array_to_vector(F.array_repeat(F.lit(0.0), width - have))
-    padded = VectorAssembler(inputCols=[column, "__padding"], outputCol=out, handleInvalid="keep")
-    return padded.transform(_with_sized(df.withColumn("__padding", padding), "__padding", width - have)).drop(
-        "__padding"
-    )
-
-
-def _with_sized(df: DataFrame, column: str, width: int) -> DataFrame:
-    return df.withMetadata(column, {"ml_attr": {"num_attrs": width}})
+    rows = df.withColumn("__padding", array_to_vector(F.array_repeat(F.lit(0.0), width - have)))
+    for name, size in ((column, have), ("__padding", width - have)):
+        rows = VectorSizeHint(inputCol=name, size=size, handleInvalid="optimistic").transform(rows)
+    joined = VectorAssembler(inputCols=[column, "__padding"], outputCol=out, handleInvalid="keep")
+    return joined.transform(rows).drop("__padding")

@@ -53,16 +53,16 @@ def top_segments(
     if ties is None:
         return scored.withColumn(out, by_score).drop("__score")
 
-    # Every row outside a tie is one stratum without ends, so a single narrow pass labels all.
-    outside = "untied"
+    # Rows outside a tie form one stratum without ends and need no key, so one narrow pass labels all.
+    tied = scored.withColumn("__tied", ties).withColumn("__key0", F.when(F.col("__tied").isNotNull(), key))
     labelled = assign_segments(
-        scored.withColumn("__key0", key),
-        F.col("__key0"),
-        F.coalesce(ties, F.lit(outside)),
+        tied,
+        F.coalesce("__key0", F.lit("")),
+        F.coalesce("__tied", F.lit("untied")),
         lambda sizes: {s: inside.get(s, []) for s in sizes},
         "__tie",
     )
-    return labelled.withColumn(out, by_score + F.col("__tie")).drop("__score", "__key0", "__tie")
+    return labelled.withColumn(out, by_score + F.col("__tie")).drop("__score", "__tied", "__key0", "__tie")
 
 
 def top_k(n: int, percent: int) -> int:

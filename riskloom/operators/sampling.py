@@ -27,7 +27,7 @@ def _in_label_order(sizes: dict[str, int]) -> list[str]:
     return sorted(sizes, key=rank)
 
 
-def test_quotas(sizes: dict[str, int], fraction: float) -> dict[str, int]:
+def split_quotas(sizes: dict[str, int], fraction: float) -> dict[str, int]:
     """Test rows per class: ceil(n x fraction) in all, shares kept, largest remainders first."""
     total = sum(sizes.values())
     want = math.ceil(fraction * total)
@@ -68,7 +68,7 @@ def stratified_split(
     key = row_key(df, seed=seed) if key is None else key
 
     def ends(sizes):
-        return {s: [n] for s, n in test_quotas(sizes, fraction).items()}
+        return {s: [n] for s, n in split_quotas(sizes, fraction).items()}
 
     parts = assign_segments(df, key, _stratum(label), ends, out)
     return parts.withColumn(out, F.when(F.col(out) == 0, "test").otherwise("train"))

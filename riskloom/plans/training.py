@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -19,10 +20,11 @@ from riskloom.schema import CV_FOLDS, CV_ROWS_MAX, LABEL, MIN_RECALL, SEED, TEST
 from riskloom.session import materialize
 from riskloom.sources.models import save_model
 from riskloom.sources.policies import write_table_csv
-from riskloom.sources.reports import metrics_struct, write_report
+from riskloom.sources.reports import REPORT_SCHEMA, write_report
 
 KEY = "row_key"
 MODEL_NAME = "boosted_trees_tuned"
+SAMPLE_ROWS_PER_TASK = 5_000
 
 
 @dataclass(frozen=True)
@@ -58,7 +60,12 @@ def train_and_evaluate(
     key = F.col(KEY)
     policies = stratified_split(prepare_policies(raw, seed), LABEL, TEST_FRACTION, seed, key)
     train, test = (policies.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
-    sample = materialize(train if max_rows is None else stratified_sample(train, LABEL, max_rows, seed, _again(seed, "fit")))
+    sample = train
+    if max_rows is not None:
+        # The few rows left would otherwise sit in as many tasks as the table, in every boosting round.
+        sample = stratified_sample(train, LABEL, max_rows, seed, _again(seed, "fit"))
+        sample = sample.repartition(math.ceil(max_rows / SAMPLE_ROWS_PER_TASK))
+    sample = materialize(sample)
     halves = stratified_split(sample, LABEL, TEST_FRACTION, seed, _again(seed, "valid"), "part")
     fit_rows = materialize(halves.filter("part = 'train'").drop("part"))
     valid_rows = halves.filter("part = 'test'").drop("part")
@@ -91,39 +98,21 @@ def _again(seed: int, use: str):
 
 
 def _report(params, min_recall, threshold, holdout, cv, split_rates) -> DataFrame:
-    """One nested row; every part is an aggregate of at most a few rows."""
-    used = F.struct(*[F.lit(v).alias(k) for k, v in asdict(params).items()])
-    per_fold = F.sort_array(F.collect_list(F.struct("fold", metrics_struct().alias("m"))))
-    folds = cv.agg(F.transform(per_fold, lambda x: x["m"]).alias("cv_threshold_metrics"))
-
-    def of(split: str, column: str):
-        return F.max(F.when(F.col("split") == split, F.col(column)))
-
-    sizes = split_rates.agg(
-        of("train", "n_rows").alias("rows_train"),
-        of("test", "n_rows").alias("rows_test"),
-        of("train", "claim_rate").alias("claim_rate_train"),
-        of("test", "claim_rate").alias("claim_rate_test"),
-    )
-    row = holdout.select(metrics_struct().alias("holdout")).withColumn("one", F.lit(1))
-    for part in (cv_summary(cv), folds, sizes):
-        row = row.join(part.withColumn("one", F.lit(1)), "one")
-    return materialize(
-        row.select(
-            F.lit(MODEL_NAME).alias("best_model"),
-            used.alias("best_params"),
-            F.lit(float(min_recall)).alias("target_min_recall"),
-            F.lit(threshold).alias("selected_threshold"),
-            "holdout",
-            "cv_pr_auc_mean",
-            "cv_pr_auc_std",
-            "cv_threshold_metrics",
-            "rows_train",
-            "rows_test",
-            "claim_rate_train",
-            "claim_rate_test",
-        )
-    )
+    """One nested row, put together from aggregates of one row per fold or split."""
+    folds = [row.asDict() for row in cv.orderBy("fold").collect()]
+    rates = {row.split: row for row in split_rates.collect()}
+    document = {
+        "best_model": MODEL_NAME,
+        "best_params": asdict(params),
+        "target_min_recall": float(min_recall),
+        "selected_threshold": threshold,
+        "holdout": holdout.first().asDict(),
+        **cv_summary(cv).first().asDict(),
+        "cv_threshold_metrics": folds,
+        **{f"rows_{split}": rates[split].n_rows for split in ("train", "test")},
+        **{f"claim_rate_{split}": rates[split].claim_rate for split in ("train", "test")},
+    }
+    return holdout.sparkSession.createDataFrame([document], REPORT_SCHEMA)
 
 
 def write_training(training: Training, folder: str) -> None:

@@ -22,6 +22,12 @@ REPORT_SCHEMA = (
     f"cv_threshold_metrics array<{METRICS_TYPE}>, rows_train bigint, rows_test bigint, "
     "claim_rate_train double, claim_rate_test double"
 )
+TOP_X_SCHEMA = (
+    "baseline struct<accuracy double, precision double, recall double, f1 double, threshold double, "
+    "n_positive bigint, n_total bigint>, "
+    "top_x_results array<struct<accuracy double, precision double, recall double, f1 double, top_pct double, "
+    "k bigint, coverage double>>"
+)
 
 
 def _read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -45,6 +51,10 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_top_x(spark: SparkSession, path: str) -> DataFrame:
+    return _read_json(spark, path, TOP_X_SCHEMA)
+
+
 def read_threshold(spark: SparkSession, path: str, default: float = DEFAULT_THRESHOLD) -> float:
     """The stored threshold; the default if the file, the key or the value is missing."""
     row = _read_json(spark, path, "threshold double").agg(F.max("threshold").alias("t")).first()
@@ -63,11 +73,6 @@ def metrics_struct():
 
 def top_x_document(top_x: DataFrame, baseline: DataFrame) -> DataFrame:
     """One row: the fixed-threshold baseline and an array with one struct per percentage."""
-    fields = F.struct(
-        "accuracy", "precision", "recall", "f1", (F.col("top_pct") / 100).alias("top_pct"), "k", "coverage"
-    )
-    rows = top_x.agg(F.sort_array(F.collect_list(F.struct(F.col("top_pct").alias("o"), fields.alias("r")))).alias("a"))
-    results = rows.select(F.transform("a", lambda x: x["r"]).alias("top_x_results"))
-    base = baseline.select(F.struct(*baseline.columns).alias("baseline"))
-    # Both sides are single aggregate rows.
-    return base.withColumn("one", F.lit(1)).join(results.withColumn("one", F.lit(1)), "one").drop("one")
+    results = [{**row.asDict(), "top_pct": row.top_pct / 100} for row in top_x.orderBy("top_pct").collect()]
+    document = {"baseline": baseline.first().asDict(), "top_x_results": results}
+    return top_x.sparkSession.createDataFrame([document], TOP_X_SCHEMA)
