@@ -125,15 +125,14 @@ def _ranked_values(df, columns, brackets, sizes, q):
     if not columns:
         return {}
 
-    def entry(name: str) -> Column:
+    def inside(name: str) -> Column:
         low, high = brackets[name]
         col = columns[name]
         # Values under the bracket are only counted: they share one row, whatever their number.
-        value = F.when(col < low, F.lit(LOWEST)).otherwise(col)
-        return F.when(col <= high, F.struct(F.lit(name).alias("name"), value.alias("value")))
+        return F.when(col < low, F.lit(LOWEST)).when(col <= high, col).alias(name)
 
-    cells = F.explode(F.array_compact(F.array(*[entry(n) for n in columns]))).alias("cell")
-    counted = df.select(cells).groupBy("cell.name", "cell.value").agg(F.count(F.lit(1)).alias("n"))
+    cells = df.select(*[inside(n) for n in columns]).unpivot([], list(columns), "name", "value")
+    counted = cells.filter(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
     at_most = sum(sizes[n] for n in columns)
     if at_most > ROWS_PER_BUCKET:
         counted = materialize(counted)

@@ -30,15 +30,12 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     """Most frequent value of each column as text, the smallest on ties; one scan for all."""
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
-    )
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, NumericType)]
     by_size = F.when(F.col("name").isin(numeric), F.col("value").try_cast("double"))
     best = F.min(F.struct((-F.col("n")).alias("rank"), by_size.alias("size"), F.col("value").alias("value")))
     rows = (
-        df.select(cells.alias("cell"))
-        .select("cell.*")
+        df.select(*[F.col(c).cast("string") for c in columns])
+        .unpivot([], list(columns), "name", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
