@@ -18,7 +18,7 @@ from riskloom.operators.features import policy_features, select_features
 from riskloom.operators.sampling import stratified_sample
 from riskloom.plans.scoring import SAMPLE_POLICY, score_batch, score_policies
 from riskloom.schema import LABEL, POLICY_COLUMNS, TRAIN_ROWS_MAX
-from riskloom.session import local_session, materialize, tuned
+from riskloom.session import local_session, materialize, skew_safe
 from riskloom.sources.order_policies import ROW_IDS, order_policies
 
 HEADLINE = [
@@ -57,7 +57,7 @@ def timed(action) -> float:
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = tuned(local_session(os.environ.get("BENCH_CPUS", "8"), "bench"))
+    spark = skew_safe(local_session(os.environ.get("BENCH_CPUS", "8"), "bench"))
     spark.sparkContext.setLogLevel("ERROR")
     run(QUERIES["b2_claim_label"](spark, folder))  # starts the executor threads and the file cache
 

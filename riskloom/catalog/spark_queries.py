@@ -17,7 +17,7 @@ from riskloom.operators.features import policy_features, select_features
 from riskloom.operators.ordering import row_key
 from riskloom.plans.scoring import score_batch, score_cutoff, score_policies
 from riskloom.schema import CATEGORICAL, LABEL, NUMERIC, POLICY_COLUMNS, TRAIN_ROWS_MAX
-from riskloom.session import materialize, scratch_path, tuned
+from riskloom.session import materialize, scratch_path, skew_safe
 from riskloom.sources.models import load_model, save_model
 from riskloom.sources.order_policies import ROW_IDS, order_policies, scored_policies
 from riskloom.sources.policies import read_policies, write_table_csv
@@ -36,7 +36,7 @@ CHECK_BOUNDS = {"prod_year_min": 1980, "prod_year_max": 1999, "policy_max_date":
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        QUERIES[name] = lambda spark, folder: run(tuned(spark), folder)
+        QUERIES[name] = lambda spark, folder: run(skew_safe(spark), folder)
         return run
 
     return register

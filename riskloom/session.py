@@ -25,11 +25,14 @@ def local_session(cores: str = "*", app: str = "riskloom") -> SparkSession:
     )
 
 
-def tuned(spark: SparkSession) -> SparkSession:
-    """Runtime settings that the wide policy projections profit from on any cluster."""
-    # The JVM does not compile methods of more than 8000 bytes; beyond that size the generated code of a
-    # whole stage is interpreted and slower than one method per expression.
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+def skew_safe(spark: SparkSession) -> SparkSession:
+    """Lets adaptive execution split a hot join key even where that costs a shuffle afterwards.
+
+    An aggregate right after a join on its key would else inherit the join's partitions, hot ones too.
+    """
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 
