@@ -290,6 +290,20 @@ oracle(
 TOTAL = " + ".join(filled(c) for c in NUMERIC)
 WIDTH = "CAST(" + " + ".join(f"(SELECT count(DISTINCT {c}) FROM derived)" for c in CATEGORICAL) + f" + {len(NUMERIC)} AS INT)"
 oracle("e4_assemble", DERIVED_PARTS, f"SELECT {IDS}, {WIDTH} AS width, {r(f'{TOTAL} + 5', 4)} AS total FROM derived")
+SEEN = "(SELECT * FROM parts WHERE split = 'train')"
+TRAIN_TOTAL = " + ".join(
+    [f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM {SEEN}))" for c in NUMERIC]
+    + [f"CASE WHEN {c} IS NULL OR {c} IN (SELECT {c} FROM {SEEN}) THEN 1 ELSE 0 END" for c in CATEGORICAL]
+)
+TRAIN_WIDTH = " + ".join(f"(SELECT count(DISTINCT {c}) FROM {SEEN})" for c in CATEGORICAL)
+PARTS["parts"] = f"""parts AS (
+SELECT * FROM (SELECT DISTINCT *, CAST(coalesce(CLAIM_PAID, 0) > 0 AS INT) AS CLAIM FROM derived)
+JOIN (SELECT DISTINCT * FROM split) USING ({IDS}, CLAIM))"""
+oracle(
+    "e5_fit_transform",
+    f"{DERIVED_PARTS} policies labelled sizes quotas placed split parts",
+    f"""SELECT {IDS}, split, CAST({TRAIN_WIDTH} + {len(NUMERIC)} AS INT) AS width, {r(TRAIN_TOTAL, 4)} AS total FROM parts""",
+)
 oracle(
     "e6_align_width",
     DERIVED_PARTS,

@@ -8,7 +8,7 @@ from compare import connect, differences
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # Results that depend on a fitted model have no SQL.
 MODEL_QUERIES = {
-    "a5_save_load_model", "e5_fit_transform", "f2_train_boosted", "f3_tune", "f4_predict_probability",
+    "a5_save_load_model", "f2_train_boosted", "f3_tune", "f4_predict_probability",
     "f5_cross_validate", "f6_feature_importance", "h8_score_batch", "h8_score_batch_top_pct",
     "h9_score_policies", "h9_score_policies_reference_cutoff",
 }

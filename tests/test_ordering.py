@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import ordering
 from riskloom.operators.ordering import assign_segments, cumulate, exact_quantiles, row_key
-from riskloom.operators.ranking import decide_top_pct, percentile_cutoff, top_segments, top_x_report
+from riskloom.operators.ranking import decide_reference_cutoff, decide_top_pct, percentile_cutoff, top_segments, top_x_report
 from riskloom.operators.sampling import (
     fold_quotas, sample_n, sample_quotas, stratified_kfold, stratified_sample, stratified_split, split_quotas,
 )
@@ -186,3 +186,10 @@ def test_percentile_cutoff(spark):
     df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 10.0)], "p double")
     assert percentile_cutoff(df, "p", 10).first().cutoff == pytest.approx(7.9)
     assert percentile_cutoff(df.limit(0), "p", 10).first().cutoff is None
+
+
+def test_reference_cutoff_needs_scores(spark):
+    df = spark.createDataFrame([(0.2,), (0.9,)], "p double")
+    assert [r.prediction for r in decide_reference_cutoff(df, "p", df, 10).orderBy("p").collect()] == [0, 1]
+    with pytest.raises(ValueError, match="no reference scores"):
+        decide_reference_cutoff(df, "p", df.limit(0), 10)
