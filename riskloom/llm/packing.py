@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -17,9 +20,9 @@ from riskloom.llm.frames import small_batches, stored
 TOKENIZER = "word_bpe_49k.json"
 MAX_TOKENS = 4096
 END_ID = 1
-# Rows ranked together: rows of one length are split into groups of about this many.
-RANKED_ROWS = 100_000
-# Words whose ids a task keeps; beyond it the kept ones are dropped and found anew.
+# Rows ranked together: rows of one length are split into so many groups at least, more if over this many rows each.
+RANKED_GROUPS, RANKED_ROWS = 64, 100_000
+# Words of a generation that a task keeps.
 KEPT_WORDS = 400_000
 
 
@@ -126,48 +129,60 @@ def places(plan: list[tuple[list[int], int]]) -> list[tuple[int, int, int, int,
 
 
 class WordTokens:
-    """Ids of whole texts, each distinct word tokenized once.
+    """Ids of whole texts as little-endian 32-bit numbers, each distinct word tokenized once.
 
-    Words end at ASCII blanks and line breaks, which the tokenizer drops; a word of letters followed by
-    marks is looked up as these two. A text with the tokenizer's own markers is tokenized whole.
+    Words end at ASCII blanks and line breaks, which the tokenizer drops; letters followed by marks are
+    looked up as these two. A text with the tokenizer's own markers is tokenized whole. Words are kept
+    in two generations, so that common ones stay known while memory is bounded.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {"": ()}
-        self.parts: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        self.far = re.compile("[\u0300-\U0010ffff]").search
+        self.marked = re.compile(r"([^\W\d_]+)([^\w\s'’]+)").fullmatch
 
     def _learn(self, words: set[str]) -> None:
-        import re
-
-        if len(self.known) > KEPT_WORDS or len(self.parts) > KEPT_WORDS:
-            self.known, self.parts = {"": ()}, {}
-        split = {w: m.groups() if (m := re.fullmatch(r"([^\W\d_]+)([^\w\s'’]+)", w)) else (w,) for w in words}
-        new = list({p for parts in split.values() for p in parts} - self.parts.keys())
+        if len(self.known) > KEPT_WORDS:
+            self.old, self.known = self.known, {"": b""}
+            words = words | self.batch_words
+        known, old = self.known, self.old
+        unseen = []
+        for word in words:
+            coded = old.get(word)
+            if coded is None:
+                unseen.append(word)
+            else:
+                known[word] = coded
+        # Below U+0300 nothing composes and each letter has its own lower case, so words may be taken apart.
+        split = {}
+        for word in unseen:
+            if word.isascii() or not self.far(word):
+                low = word.lower()
+                split[word] = m.groups() if not low.isalpha() and (m := self.marked(low)) else (low,)
+            else:
+                split[word] = (word,)
+        new = list(set().union(*split.values()).difference(known))
         for part, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.parts[part] = tuple(coded.ids)
-        for word, parts in split.items():
-            self.known[word] = sum((self.parts[p] for p in parts), ())
+            known[part] = array("I", coded.ids).tobytes()
+        for word, found in split.items():
+            known[word] = known[found[0]] if len(found) == 1 else known[found[0]] + known[found[1]]
 
-    def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def batch(self, texts: list[str]) -> Iterator[bytes]:
         whole = {i for i, t in enumerate(texts) if "<|" in t}
-        words = [[] if i in whole else t.lower().replace("\n", " ").split(" ") for i, t in enumerate(texts)]
-        missing = set().union(*words) - self.known.keys()
-        if missing:
+        words = [[] if i in whole else t.replace("\n", " ").split(" ") for i, t in enumerate(texts)]
+        self.batch_words = set().union(*words)
+        if missing := self.batch_words - self.known.keys():
             self._learn(missing)
-            if any(w not in self.known for ws in words for w in ws):  # what was kept has been dropped
-                self._learn(set().union(*words))
-        known = self.known
+        find = self.known.__getitem__
         for i, ws in enumerate(words):
             if i in whole:
-                yield np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4")
+                yield array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
             else:
-                out: list[int] = []
-                for w in ws:
-                    out += known[w]
-                yield np.array(out, "<u4")
+                yield b"".join(map(find, ws))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -194,14 +209,16 @@ def token_pieces(
     small_batches(documents.sparkSession)
 
     def cut(batches):
-        coder = WordTokens(path)
+        # A worker process keeps its words from task to task.
+        coder = vars(sys).setdefault("_word_tokens", {}).get(path) or WordTokens(path)
+        vars(sys)["_word_tokens"][path] = coder
         for batch in batches:
             texts = batch.column(1).to_pylist()
             rows: list[tuple] = []
             for i, ids in enumerate(coder.batch([t or "" for t in texts])):
-                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                for piece, start in enumerate(range(0, len(ids), most)):
-                    part = ids[start : start + most].tobytes()
+                ids += END_ID.to_bytes(4, "little")
+                for piece, start in enumerate(range(0, len(ids) // 4, most)):
+                    part = ids[4 * start : 4 * (start + most)]
                     rows.append((i, piece, start, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             arrays = [batch.column(0).take(pa.array(columns[0], pa.int32()))]
@@ -228,7 +245,7 @@ def pack_pieces(pieces: DataFrame, most: int = MAX_TOKENS) -> DataFrame:
     )
     table = table.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("low", "high", "sequence", "at"))).alias("spans"))
 
-    groups = max(1, sum(counts.values()) // RANKED_ROWS)
+    groups = max(RANKED_GROUPS, sum(counts.values()) // RANKED_ROWS)
     salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("int")
     salted = pieces.withColumn("salt", salt)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
