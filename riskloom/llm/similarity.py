@@ -23,6 +23,8 @@ COMMON_SHARE, COMMON_LEAST = 0.01, 8
 # Members of a bucket that one tree holds; larger buckets are cut by size into such chunks.
 TREE_ROWS = 1_024
 LEAF, FAN = 8, 8
+# Partners of other groups that a row proposes in the first round of trees; each round takes so many times as many.
+FIRST_PARTNERS = 32
 BITS_MOST = 1 << 15
 
 
@@ -210,8 +212,27 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.repartition("token").sortWithinPartitions("token").mapInArrow(read, rows.schema)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v) of the pairs that are similar enough, by all shingles of both."""
+def _plausible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (u, n, v, m) that their bitmaps leave possible, as (u, v)."""
+
+    def read(batches):
+        for batch in batches:
+            kept = []
+            for n, m, a, b in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True):
+                a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+                width = min(len(a), len(b))
+                a, b = fold(a, width), fold(b, width)
+                spare = min(n - int(np.bitwise_count(a).sum()), m - int(np.bitwise_count(b).sum()))
+                kept.append((PART + WHOLE) * (int(np.bitwise_count(a & b).sum()) + spare) >= PART * (n + m))
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    full = pairs.join(bits.select(F.col("node").alias("v"), F.col("bits").alias("right")), "v")
+    full = full.join(bits.select(F.col("node").alias("u"), F.col("bits").alias("left")), "u")
+    return full.select("u", "v", "n", "m", "left", "right").mapInArrow(read, "u long, v long")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v) of the pairs that are similar enough, by all shingles of both, read anew from their texts."""
 
     def read(batches):
         for batch in batches:
@@ -224,6 +245,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 hits.append(WHOLE * both >= PART * (len(a) + len(b) - both))
             yield batch.select([0, 1]).filter(pa.array(hits, pa.bool_()))
 
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = stored(classes.join(nodes, "node").select("node", F.col("first").alias("doc_id")), "wanted")
+    count = wanted.count()
+    texts = rows.join(maybe_broadcast(wanted.select("doc_id"), count), "doc_id", "left_semi")
+    sets = _once(_sets(texts), "sets", count)
     full = pairs.select("u", "v").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("right")), "v")
     full = full.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("left")), "u")
     return full.select("u", "v", "left", "right").mapInArrow(read, "u long, v long")
@@ -335,28 +361,26 @@ def jaccard_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     stats = stats.groupBy("c", "pivot", "who").agg(F.min("token").alias("token"))
     hits = stored(hits.join(stats.select("token", "pivot"), "token"), "buckets")
 
-    met = stored(hits.groupBy("node").agg(F.first("n").alias("n")), "met")
-    n_met = met.count()
-    wanted = classes.join(met, "node", "left_semi").select(F.col("first").alias("doc_id"))
-    sets = _once(_sets(rows.join(maybe_broadcast(wanted, n_met), "doc_id", "left_semi")), "sets", n_met)
     bits = routed.select("node", "bits")
 
     tried = hits.filter("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"), "n").distinct()
-    tried = tried.join(met.select(F.col("node").alias("v"), F.col("n").alias("m")), "v")
-    tried = stored(tried.filter(WHOLE * F.least("n", "m") >= PART * F.greatest("n", "m")).select("u", "v"), "tried")
-    edges, limit = stored(_verified(tried, sets), "edges"), 1
+    size = hits.groupBy("node").agg(F.first("n").alias("m"))
+    tried = tried.join(size.withColumnRenamed("node", "v"), "v")
+    tried = tried.filter(WHOLE * F.least("n", "m") >= PART * F.greatest("n", "m"))
+    tried = stored(_plausible(tried, bits), "tried")
+    edges, limit = stored(_verified(tried, rows, classes), "edges"), FIRST_PARTNERS
     while True:
         groups = components(edges)
         found = stored(_candidates(_units(hits, groups, bits), limit), "candidates")
         complete = found.filter("more").isEmpty()
         new = stored(found.select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "new")
         if not new.isEmpty():
-            edges, tried = stored(edges.union(_verified(new, sets)), "edges"), tried.union(new)
+            edges, tried = stored(edges.union(_verified(new, rows, classes)), "edges"), tried.union(new)
             if complete:
                 groups = components(edges)
         if complete:
             break
-        limit *= 16
+        limit *= FIRST_PARTNERS
 
     classes = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = classes.groupBy("component").agg(F.min("first").alias("component_id"))
