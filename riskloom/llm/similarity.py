@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from riskloom.llm.components import components
 from riskloom.llm.frames import maybe_broadcast, small_batches, stored
-from riskloom.llm.text import distinct, ragged, shingle_sets
+from riskloom.llm.text import BASE, distinct, mix, ragged, shingle_sets
 
 # Similarity as a share of whole numbers, so that no rounding decides.
 PART, WHOLE = 75, 100
@@ -34,11 +34,11 @@ def prefix_length(n: int) -> int:
 
 
 def bitmap_width(n: int) -> int:
-    return min(BITS_MOST, max(256, 1 << (4 * n - 1).bit_length()))
+    return min(BITS_MOST, max(256, 1 << (2 * n - 1).bit_length()))
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Token bitmap, eight bits a byte, of four to eight bits a shingle up to a limit."""
+    """Token bitmap, eight bits a byte, of two to four bits a shingle up to a limit."""
     bits = np.zeros(bitmap_width(len(shingles)), bool)
     bits[(shingles & np.uint64(len(bits) - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little")
@@ -74,12 +74,9 @@ class Node:
         return (PART + WHOLE) * (common + spare) >= PART * (self.least + other.least)
 
 
-def build(sizes: np.ndarray, groups: np.ndarray, bits: list[np.ndarray]) -> tuple[Node, dict[int, np.ndarray]]:
-    """Tree over rows in the order given; bottom nodes hold LEAF rows, others FAN nodes.
-
-    Also, by bitmap width, each row's shingles beyond the bits they set.
-    """
-    beyond: dict[int, np.ndarray] = {}
+def build(sizes: np.ndarray, groups: np.ndarray, bits: list[np.ndarray]) -> Node:
+    """Tree over rows in the order given; bottom nodes hold LEAF rows, others FAN nodes."""
+    beyond: dict[int, np.ndarray] = {}  # by bitmap width, each row's shingles beyond the bits they set
     for width in {len(b) for b in bits}:
         beyond[width] = sizes - np.array([int(np.bitwise_count(fold(b, min(width, len(b)))).sum()) for b in bits])
     level = [Node(i, min(i + LEAF, len(sizes)), [], sizes, groups, bits) for i in range(0, len(sizes), LEAF)]
@@ -89,7 +86,7 @@ def build(sizes: np.ndarray, groups: np.ndarray, bits: list[np.ndarray]) -> tupl
         done += level
     for node in done:
         node.spares = {w: int(c[node.low : node.high].max()) for w, c in beyond.items()}
-    return level[0], beyond
+    return level[0]
 
 
 def tree_join(
@@ -100,7 +97,10 @@ def tree_join(
     With `side`, only pairs between both sides. Two subtrees meet unless both are wholly of one group
     or no pair of theirs can overlap enough.
     """
-    root, beyond = build(sizes, groups, bits)
+    if len(sizes) <= LEAF:
+        yield from _leaf_join((0, len(sizes)), (0, len(sizes)), sizes, groups, bits, side)
+        return
+    root = build(sizes, groups, bits)
     todo = [(root, root)]
     while todo:
         a, b = todo.pop()
@@ -109,22 +109,29 @@ def tree_join(
         if a.children or b.children:
             left, right = a.children or [a], b.children or [b]
             todo += [(x, y) for i, x in enumerate(left) for j, y in enumerate(right) if a is not b or i <= j]
-            continue
-        i, j = np.arange(a.low, a.high)[:, None], np.arange(b.low, b.high)[None]
-        small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
-        open_ = (i < j) & (groups[i] != groups[j]) & (WHOLE * small >= PART * large)
-        if side is not None:
-            open_ &= side[i] != side[j]
-        if not open_.any():
-            continue
-        width = min(len(x) for x in bits[a.low : a.high] + bits[b.low : b.high])
-        x, y = (np.stack([fold(r, width) for r in bits[n.low : n.high]]) for n in (a, b))
-        common = np.bitwise_count(x[:, None] & y[None]).sum(2, dtype=np.int64)
-        most = np.minimum(common + np.minimum(beyond[width][i], beyond[width][j]), small)
-        open_ &= (PART + WHOLE) * most >= PART * (small + large)
-        for p, q in zip(*np.nonzero(open_), strict=True):
-            both = int(most[p, q])
-            yield a.low + int(p), b.low + int(q), both / (int(small[p, q]) + int(large[p, q]) - both)
+        else:
+            yield from _leaf_join((a.low, a.high), (b.low, b.high), sizes, groups, bits, side)
+
+
+def _leaf_join(a, b, sizes, groups, bits, side) -> Iterator[tuple[int, int, float]]:
+    """The pairs of two row ranges, or of one with itself, that their sizes and bitmaps leave possible."""
+    i, j = np.arange(*a)[:, None], np.arange(*b)[None]
+    small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+    left = (i < j) & (groups[i] != groups[j]) & (WHOLE * small >= PART * large)
+    if side is not None:
+        left &= side[i] != side[j]
+    if not left.any():
+        return
+    width = min(len(x) for x in bits[slice(*a)] + bits[slice(*b)])
+    x = np.stack([fold(r, width) for r in bits[slice(*a)]])
+    y = x if a == b else np.stack([fold(r, width) for r in bits[slice(*b)]])
+    p, q = np.nonzero(left)
+    common = np.bitwise_count(x[p] & y[q]).sum(1, dtype=np.int64)
+    spare = np.minimum(sizes[a[0] + p] - np.bitwise_count(x).sum(1, dtype=np.int64)[p], sizes[b[0] + q] - np.bitwise_count(y).sum(1, dtype=np.int64)[q])
+    small, large = small[p, q], large[p, q]
+    most = np.minimum(common + spare, small)
+    for k in np.flatnonzero((PART + WHOLE) * most >= PART * (small + large)):
+        yield a[0] + int(p[k]), b[0] + int(q[k]), float(most[k] / (small[k] + large[k] - most[k]))
 
 
 def _node(shingles: np.ndarray) -> int | None:
@@ -192,24 +199,34 @@ def _once(sets: DataFrame, name: str, nodes: int) -> DataFrame:
     return rows if rows.count() == nodes else stored(rows.dropDuplicates(["node"]), name)
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Rows (token, node, n) without those whose token stands alone; one shuffle, nothing held."""
+def _buckets(rows: DataFrame) -> DataFrame:
+    """(bucket, node, n) from rows (token, node, n): rows of a token, cut where sizes are too far apart to link.
+
+    In order of size, a row can link only within the run of rows of which each is near enough to the
+    one before. Runs of one row are left out; one shuffle, nothing held but the row before.
+    """
 
     def read(batches):
-        last, sent = None, False  # the row before this batch, and whether it has gone out
+        last, sent, opened = None, False, 0  # the row before this batch, whether it has gone out, its run's first size
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
-            token = table.column(0).to_numpy()
-            same = token[1:] == token[:-1]
+            token, n = table.column(0).to_numpy(), table.column(2).to_numpy()
+            same = (token[1:] == token[:-1]) & (WHOLE * n[:-1] >= PART * n[1:])
             keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            begin = np.maximum.accumulate(np.where(np.concatenate([[False], same]), 0, np.arange(len(n))))
+            first = np.where((begin == 0) & (last is not None), opened, n[begin])
             if last is not None and sent:
                 keep[0] = False
-            last, sent = table.slice(len(token) - 1).to_batches()[0], bool(keep[-1])
-            yield from table.filter(pa.array(keep)).to_batches()
+            bucket = mix(token.view(np.uint64) + first.astype(np.uint64) * BASE).view(np.int64)
+            last, sent, opened = table.slice(len(token) - 1).to_batches()[0], bool(keep[-1]), int(first[-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[keep]), pa.array(table.column(1).to_numpy()[keep]), pa.array(n[keep])], ["bucket", "node", "n"]
+            )
 
-    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(read, rows.schema)
+    ordered = rows.select("token", "node", "n").repartition("token").sortWithinPartitions("token", "n")
+    return ordered.mapInArrow(read, "bucket long, node long, n long")
 
 
 def _plausible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
@@ -256,7 +273,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFram
 
 
 def _candidates(units: DataFrame, limit: int) -> DataFrame:
-    """(u, v, more): for each row of a unit, the `limit` likeliest partners of other groups; more: some were left out."""
+    """(u, v, unit): for each row of a unit, the `limit` likeliest partners of other groups; unit: set if some were left out."""
 
     def join(rows: list[tuple]):
         rows.sort(key=lambda r: (r[3], r[4], r[2]))
@@ -275,15 +292,15 @@ def _candidates(units: DataFrame, limit: int) -> DataFrame:
         for partners in best.values():
             partners.sort()
             for _, v, u in partners[:limit]:
-                yield u, v, len(partners) > limit
+                yield u, v, rows[0][0] if len(partners) > limit else None
 
     def read(batches):
         unit, held = None, []
 
         def emit():
             out = list(join(held)) if len(held) > 1 else []
-            u, v, more = zip(*out, strict=True) if out else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(more, pa.bool_())], ["u", "v", "more"])
+            columns = zip(*out, strict=True) if out else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v", "unit"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -295,33 +312,36 @@ def _candidates(units: DataFrame, limit: int) -> DataFrame:
         if held:
             yield emit()
 
-    return units.select("unit", "side", "node", "n", "group", "bits").mapInArrow(read, "u long, v long, more boolean")
+    return units.select("unit", "side", "node", "n", "group", "bits").mapInArrow(read, "u long, v long, unit long")
 
 
-def _units(hits: DataFrame, groups: DataFrame, bits: DataFrame) -> DataFrame:
+def _units(hits: DataFrame, groups: DataFrame, bits: DataFrame, again: DataFrame | None) -> DataFrame:
     """Buckets with rows of several groups, as units (unit, side, node, n, group, bits) of bounded size.
 
     A bucket of more than TREE_ROWS rows is sorted by size and cut into chunks, the top nodes of its
-    tree; two chunks make a unit if their sizes can match and they aren't wholly of one group.
+    tree; two chunks make a unit if their sizes can match and they aren't wholly of one group. With `again`, only its units.
     """
-    rows = hits.select("token", "node", "n").join(groups, "node", "left")
-    rows = rows.select("token", "node", "n", F.coalesce("component", "node").alias("group"))
-    mixed = rows.groupBy("token").agg(F.count("*").alias("count"), F.min("group").alias("a"), F.max("group").alias("b")).filter("a <> b")
-    rows = stored(rows.join(mixed.select("token", "count"), "token"), "mixed")
-    small = rows.filter(F.col("count") <= TREE_ROWS).select(F.xxhash64("token").alias("unit"), F.lit(0).alias("side"), "node", "n", "group")
+    rows = hits.select("bucket", "node", "n").join(groups, "node", "left")
+    rows = rows.select("bucket", "node", "n", F.coalesce("component", "node").alias("group"))
+    mixed = rows.groupBy("bucket").agg(F.count("*").alias("count"), F.min("group").alias("a"), F.max("group").alias("b")).filter("a <> b")
+    rows = stored(rows.join(mixed.select("bucket", "count"), "bucket"), "mixed")
+    small = rows.filter(F.col("count") <= TREE_ROWS).select(F.xxhash64("bucket").alias("unit"), F.lit(0).alias("side"), "node", "n", "group")
     half = TREE_ROWS // 2
-    at = F.row_number().over(Window.partitionBy("token").orderBy("n", "group", "node"))
+    at = F.row_number().over(Window.partitionBy("bucket").orderBy("n", "node"))
     large = stored(rows.filter(F.col("count") > TREE_ROWS).withColumn("chunk", F.floor((at - 1) / half)), "chunks")
-    chunks = large.groupBy("token", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("group").alias("low"), F.max("group").alias("high"))
-    other = chunks.select("token", *(F.col(c).alias(f"o_{c}") for c in ("chunk", "least", "most", "low", "high")))
-    met = chunks.join(other, "token").filter("chunk <= o_chunk").filter(PART * F.col("o_least") <= WHOLE * F.col("most"))
+    chunks = large.groupBy("bucket", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("group").alias("low"), F.max("group").alias("high"))
+    other = chunks.select("bucket", *(F.col(c).alias(f"o_{c}") for c in ("chunk", "least", "most", "low", "high")))
+    met = chunks.join(other, "bucket").filter("chunk <= o_chunk").filter(PART * F.col("o_least") <= WHOLE * F.col("most"))
     met = met.filter(~((F.col("low") == F.col("high")) & (F.col("o_low") == F.col("o_high")) & (F.col("low") == F.col("o_low"))))
-    met = met.select("token", F.xxhash64("token", "chunk", "o_chunk").alias("unit"), "chunk", "o_chunk")
-    sides = met.select("token", "unit", "chunk", F.lit(0).alias("side")).union(
-        met.filter("chunk <> o_chunk").select("token", "unit", F.col("o_chunk").alias("chunk"), F.lit(1).alias("side"))
+    met = met.select("bucket", F.xxhash64("bucket", "chunk", "o_chunk").alias("unit"), "chunk", "o_chunk")
+    sides = met.select("bucket", "unit", "chunk", F.lit(0).alias("side")).union(
+        met.filter("chunk <> o_chunk").select("bucket", "unit", F.col("o_chunk").alias("chunk"), F.lit(1).alias("side"))
     )
-    cut = large.join(sides, ["token", "chunk"]).select("unit", "side", "node", "n", "group")
-    units = small.union(cut).join(bits, "node")
+    cut = large.join(sides, ["bucket", "chunk"]).select("unit", "side", "node", "n", "group")
+    units = small.union(cut)
+    if again is not None:
+        units = units.join(again, "unit", "left_semi")
+    units = units.join(bits, "node")
     return units.repartition("unit").sortWithinPartitions("unit")
 
 
@@ -354,12 +374,12 @@ def jaccard_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     firsts = maybe_broadcast(classes.select(F.col("first").alias("doc_id")), n_classes)
     routed = _once(_route(rows.join(firsts, "doc_id", "left_semi"), np.sort(often.view(np.uint64))), "routed", n_classes)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    hits = stored(_shared(routed.select(F.explode("prefix").alias("token"), "node", "n")), "hits")
+    hits = stored(_buckets(routed.select(F.explode("prefix").alias("token"), "node", "n")), "hits")
     small_batches(spark)
     # Buckets of the same rows are one.
-    stats = hits.groupBy("token").agg(F.count("*").alias("c"), F.min("node").alias("pivot"), F.bit_xor(F.xxhash64("node")).alias("who"))
-    stats = stats.groupBy("c", "pivot", "who").agg(F.min("token").alias("token"))
-    hits = stored(hits.join(stats.select("token", "pivot"), "token"), "buckets")
+    stats = hits.groupBy("bucket").agg(F.count("*").alias("c"), F.min("node").alias("pivot"), F.bit_xor(F.xxhash64("node")).alias("who"))
+    stats = stats.groupBy("c", "pivot", "who").agg(F.min("bucket").alias("bucket"))
+    hits = stored(hits.join(stats.select("bucket", "pivot"), "bucket"), "buckets")
 
     bits = routed.select("node", "bits")
 
@@ -369,16 +389,17 @@ def jaccard_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     tried = tried.filter(WHOLE * F.least("n", "m") >= PART * F.greatest("n", "m"))
     tried = stored(_plausible(tried, bits), "tried")
     edges, limit = stored(_verified(tried, rows, classes), "edges"), FIRST_PARTNERS
+    again = None
     while True:
         groups = components(edges)
-        found = stored(_candidates(_units(hits, groups, bits), limit), "candidates")
-        complete = found.filter("more").isEmpty()
+        found = stored(_candidates(_units(hits, groups, bits, again), limit), "candidates")
+        again = stored(found.filter("unit IS NOT NULL").select("unit").distinct(), "again")
         new = stored(found.select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "new")
-        if not new.isEmpty():
+        complete, none = again.isEmpty(), new.isEmpty()
+        if not none:
             edges, tried = stored(edges.union(_verified(new, rows, classes)), "edges"), tried.union(new)
-            if complete:
-                groups = components(edges)
         if complete:
+            groups = groups if none else components(edges)
             break
         limit *= FIRST_PARTNERS
 
