@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from riskloom.catalog.oracle_queries import ORACLES
+from riskloom.catalog.spark_queries import QUERIES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # Results that depend on a fitted model have no SQL.
 MODEL_QUERIES = {
     "a5_save_load_model", "f2_train_boosted", "f3_tune", "f4_predict_probability",
@@ -22,6 +23,7 @@ def con(folder):
 def test_every_query_is_checked():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == MODEL_QUERIES
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
