@@ -10,8 +10,8 @@ from riskloom.schema import HIGH_RISK, MEDIUM_RISK
 
 
 def decide_threshold(p: Column, threshold: float) -> Column:
-    """1 where the probability reaches the threshold; a missing one does not."""
-    return F.coalesce(p >= F.lit(float(threshold)), F.lit(False)).cast("int")
+    """1 where the probability reaches the threshold; a missing one or NaN does not."""
+    return F.coalesce(F.nullif(p.cast("double"), F.lit(float("nan"))) >= F.lit(float(threshold)), F.lit(False)).cast("int")
 
 
 def risk_label(p: Column) -> Column:

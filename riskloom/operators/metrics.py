@@ -24,8 +24,8 @@ def claim_rate(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def score(p: str) -> Column:
-    """A missing score ranks below every other."""
-    return F.coalesce(F.col(p).cast("double"), F.lit(LOWEST))
+    """A missing score or NaN ranks below every other."""
+    return F.coalesce(F.nullif(F.col(p).cast("double"), F.lit(float("nan"))), F.lit(LOWEST))
 
 
 def score_histogram(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:

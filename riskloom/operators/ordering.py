@@ -172,7 +172,8 @@ def row_key(df: DataFrame, columns: Sequence[str] | None = None, seed: int = SEE
     The values are hashed as JSON text, NULLs left out, so rows share a key only if they are copies.
     """
     fields = [F.lit(seed).alias("seed"), *[F.col(name) for name in columns or df.columns]]
-    return F.md5(F.to_json(F.struct(*fields)))
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.md5(F.to_json(F.struct(*fields), exact))
 
 
 def _opaque(col: Column) -> Column:
@@ -210,7 +211,7 @@ def find_cuts(df: DataFrame, key: Column, stratum: Column, quotas: Quotas) -> tu
     counts = keyed.groupBy("stratum", "prefix").agg(F.count(F.lit(1)).alias("n"))
     limit = STRATA_MAX * 16**PREFIX_DIGITS
     prefixes = sorted(counts.limit(limit + 1).collect())
-    if len(prefixes) > limit:
+    if len(prefixes) > limit or len({row.stratum for row in prefixes}) > STRATA_MAX:
         raise ValueError(f"more than {STRATA_MAX} strata")
     sizes: dict[str, int] = {}
     for row in prefixes:

@@ -54,8 +54,8 @@ def reference_profile(df: DataFrame) -> DataFrame:
     latest = F.coalesce(c("date_max"), default("policy_max_date"))
     first = F.when(c("begin_min").isNotNull(), F.greatest(c("begin_min"), F.lit(POLICY_MIN_DATE).cast("date")))
     return seen.select(
-        F.coalesce(c("year_min").cast("int"), default("prod_year_min")).alias("prod_year_min"),
-        F.coalesce(c("year_max").cast("int"), default("prod_year_max")).alias("prod_year_max"),
+        F.coalesce(c("year_min").try_cast("int"), default("prod_year_min")).alias("prod_year_min"),
+        F.coalesce(c("year_max").try_cast("int"), default("prod_year_max")).alias("prod_year_max"),
         latest.alias("policy_max_date"),
         F.coalesce(first, default("policy_default_begin")).alias("policy_default_begin"),
         F.when(first.isNotNull(), F.least(F.add_months(first, 12), latest))

@@ -80,6 +80,16 @@ def score_cutoff(
     return reference_cutoff(materialize(sample), PROBABILITY, percent, n)
 
 
+def _entered(value: object, kind: str) -> object:
+    """A hand-entered value as its column's type; None where it can't be read as that."""
+    if value is None:
+        return None
+    try:
+        return {"double": float, "int": lambda v: int(float(v))}.get(kind.lower(), str)(value)
+    except (TypeError, ValueError, OverflowError):
+        return None
+
+
 def score_policies(
     policies: DataFrame | list[dict],
     model: PipelineModel,
@@ -93,7 +103,8 @@ def score_policies(
     no prediction.
     """
     if isinstance(policies, list):
-        rows = [tuple(p.get(c) for c in POLICY_COLUMNS) for p in policies]
+        kinds = dict(field.strip().split()[:2] for field in POLICY_SCHEMA.split(","))
+        rows = [tuple(_entered(p.get(c), kinds[c]) for c in POLICY_COLUMNS) for p in policies]
         policies = spark.createDataFrame(rows, POLICY_SCHEMA)
     checked = policies.withColumn("reasons", policy_violations(policies, bounds or DEFAULT_PROFILE))
     scored = score_probability(checked, model)

@@ -27,9 +27,12 @@ def score_uploads(
     threshold: float = DEFAULT_THRESHOLD,
     file_columns: Sequence[str] = POLICY_COLUMNS,
 ) -> StreamingQuery:
-    """Scores all files not yet seen and stops; `progress` remembers them between runs."""
+    """Scores all files not yet seen and stops; `progress` remembers them between runs.
+
+    A file whose header isn't `file_columns` in that order ends the query instead of being misread.
+    """
     schema = StructType([StructField(c, StringType()) for c in file_columns])
-    uploads = spark.readStream.schema(schema).option("header", True).csv(folder)
+    uploads = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).csv(folder)
     scored = score_batch(uploads.select(*typed_columns(file_columns)), model, threshold)
     return (
         scored.writeStream.format("parquet")

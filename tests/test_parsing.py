@@ -28,7 +28,11 @@ def test_policy_dates(spark):
         "29-FEB-12": dt.date(2012, 2, 29),
         "29-FEB-13": None,
         "32-JAN-13": None,
-        "01-JAN-2013": None,
+        "01-JAN-2013": dt.date(2013, 1, 1),
+        "2013-08-08 00:00:00": dt.date(2013, 8, 8),
+        "2013-08-08T10:30:00": dt.date(2013, 8, 8),
+        "8/31/2013": dt.date(2013, 8, 31),
+        "31/8/2013": None,
         "01-ANF-13": None,
         "01-N F-13": None,
         "2013": None,
