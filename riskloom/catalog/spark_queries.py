@@ -28,8 +28,8 @@ QUERIES: dict[str, Query] = {}
 
 THRESHOLD = 0.5
 DIGITS = 6
-# Few boosting rounds: the registered queries show the plan, not the quality of a model.
-ROUNDS = 5
+# The tuned model's rounds; tuning and cross-validation fit many models and take fewer.
+ROUNDS = 200
 CV_ROUNDS = 2
 CHECK_BOUNDS = {"prod_year_min": 1980, "prod_year_max": 1999, "policy_max_date": "2001-12-31"}
 
