@@ -29,7 +29,6 @@ from riskloom.session import materialize
 ROWS_PER_BUCKET = 1_000_000
 BUCKETS_MAX = 4096
 BROADCAST_ROWS_MAX = 1_000_000
-STRATA_MAX = 100
 SKETCH_ACCURACY = 10_000
 PREFIX_DIGITS = 3
 COPIES_PER_TASK = 100_000
@@ -68,13 +67,13 @@ def cumulate(
         window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return counted.withColumns({f"cum_{c}": F.sum(c).over(window) for c in counts})
 
-    placed = counted.withColumn("__position", F.col(value) if position is None else position)
+    # Buckets follow the sort order of windows: NULL below all values, NaN in a bucket above them.
+    placed = counted.withColumn("__position", F.coalesce(F.col(value) if position is None else position, F.lit(LOWEST)))
     steps = [i / buckets for i in range(1, buckets)]
     finite = F.when(F.abs("__position") < HIGHEST, F.col("__position"))
     bounds = placed.agg(F.percentile_approx(finite, steps, 10 * buckets)).first()[0] or [0.0]
-    placed = Bucketizer(
-        splits=[LOWEST, *sorted(set(bounds)), HIGHEST], inputCol="__position", outputCol="__bucket"
-    ).transform(placed)
+    splits = [LOWEST, *sorted(set(bounds)), HIGHEST]
+    placed = Bucketizer(splits=splits, inputCol="__position", outputCol="__bucket", handleInvalid="keep").transform(placed)
 
     bucket_order = F.desc("__bucket") if descending else F.asc("__bucket")
     before = Window.partitionBy(*by).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
@@ -204,33 +203,27 @@ def find_cuts(df: DataFrame, key: Column, stratum: Column, quotas: Quotas) -> tu
 
     `quotas` maps stratum sizes to ascending end ranks per stratum. Two passes: counts by hash prefix
     (at most 4096 small rows per stratum), then counts by key within the few prefixes that hold an end.
+    The driver sees one size per stratum and one row per end.
     """
     keyed = df.select(stratum.alias("stratum"), _opaque(key).alias("key")).withColumn(
         "prefix", F.substring("key", 1, PREFIX_DIGITS)
     )
-    counts = keyed.groupBy("stratum", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    limit = STRATA_MAX * 16**PREFIX_DIGITS
-    prefixes = sorted(counts.limit(limit + 1).collect())
-    if len(prefixes) > limit or len({row.stratum for row in prefixes}) > STRATA_MAX:
-        raise ValueError(f"more than {STRATA_MAX} strata")
-    sizes: dict[str, int] = {}
-    for row in prefixes:
-        sizes[row.stratum] = sizes.get(row.stratum, 0) + row.n
+    counts = materialize(keyed.groupBy("stratum", "prefix").agg(F.count(F.lit(1)).alias("n")))
+    sizes = {row.stratum: row.n for row in counts.groupBy("stratum").agg(F.sum("n").alias("n")).collect()}
     ranks = quotas(sizes)
-
-    local = []  # (stratum, index, prefix, rank within the prefix)
-    start: dict[str, int] = {}
-    for row in prefixes:
-        low = start.get(row.stratum, 0)
-        high = start[row.stratum] = low + row.n
-        for i, end in enumerate(ranks[row.stratum]):
-            if low < end <= high and end < sizes[row.stratum]:
-                local.append((row.stratum, i, row.prefix, end - low))
-    if not local:
+    ends = [(s, i, end) for s, of in ranks.items() for i, end in enumerate(of) if 0 < end < sizes[s]]
+    if not ends:
         return [], ranks
 
+    ends = df.sparkSession.createDataFrame(ends, "of string, i int, end long")
+    before = Window.partitionBy("stratum").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumn("cum_n", F.sum("n").over(before))
+    held = running.join(ends, F.col("stratum") == F.col("of")).filter("cum_n >= end AND cum_n - n < end")
+    held = held.select("stratum", "i", "prefix", (F.col("end") - F.col("cum_n") + F.col("n")).alias("rank"), "n").collect()
+    local = [(row.stratum, row.i, row.prefix, row["rank"]) for row in held]  # rank within the prefix
+
     scopes = sorted({(s, prefix) for s, _, prefix, _ in local})
-    at_most = sum(row.n for row in prefixes if (row.stratum, row.prefix) in set(scopes))
+    at_most = sum({(row.stratum, row.prefix): row.n for row in held}.values())
     keys = (
         keyed.filter(F.concat("prefix", "stratum").isin([prefix + s for s, prefix in scopes]))
         .groupBy("stratum", "prefix", "key")

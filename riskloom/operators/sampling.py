@@ -86,6 +86,31 @@ def stratified_sample(
     return assign_segments(df, key, _stratum(label), ends, "__segment").filter("__segment = 0").drop("__segment")
 
 
+def stratified_fit_split(
+    df: DataFrame,
+    label: str,
+    max_rows: int | None = None,
+    fraction: float = TEST_FRACTION,
+    seed: int = SEED,
+    key: Column | None = None,
+    out: str = "part",
+) -> DataFrame:
+    """Adds `part` = 'fit' or 'valid': of a sample of about max_rows rows all but `fraction` are fit.
+
+    Every other row, in the sample or not, is for validation. No limit means a sample of all rows. With
+    the same key, stratified_sample of max_rows holds all fit rows.
+    """
+    key = row_key(df, seed=seed) if key is None else key
+
+    def ends(sizes):
+        sample = sizes if max_rows is None else sample_quotas(sizes, max_rows)
+        held = split_quotas(sample, fraction) if sum(sample.values()) else sample
+        return {s: [n - held[s]] for s, n in sample.items()}
+
+    parts = assign_segments(df, key, _stratum(label), ends, out)
+    return parts.withColumn(out, F.when(F.col(out) == 0, "fit").otherwise("valid"))
+
+
 def stratified_kfold(
     df: DataFrame, label: str, k: int = 5, seed: int = SEED, key: Column | None = None, out: str = "fold"
 ) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -15,7 +14,7 @@ from riskloom.operators.cleaning import dedup, with_claim_label
 from riskloom.operators.features import policy_features, select_features
 from riskloom.operators.metrics import claim_rate, cv_summary, evaluate, model_comparison, select_threshold, threshold_sweep
 from riskloom.operators.ordering import row_key
-from riskloom.operators.sampling import stratified_kfold, stratified_sample, stratified_split
+from riskloom.operators.sampling import stratified_fit_split, stratified_kfold, stratified_sample, stratified_split
 from riskloom.schema import CV_FOLDS, CV_ROWS_MAX, LABEL, MIN_RECALL, SEED, TEST_FRACTION, TRAIN_ROWS_MAX
 from riskloom.session import materialize
 from riskloom.sources.models import save_model
@@ -24,7 +23,6 @@ from riskloom.sources.reports import REPORT_SCHEMA, write_report
 
 KEY = "row_key"
 MODEL_NAME = "boosted_trees_tuned"
-SAMPLE_ROWS_PER_TASK = 5_000
 
 
 @dataclass(frozen=True)
@@ -51,24 +49,23 @@ def train_and_evaluate(
     min_recall: float = MIN_RECALL,
     folds: int = CV_FOLDS,
     seed: int = SEED,
+    cv_max_rows: int | None = CV_ROWS_MAX,
+    parallelism: int = 2,
 ) -> Training:
-    """Holdout split, capped fit sample, tuning, threshold, holdout metrics, cross-validation.
+    """Holdout split, bounded fit rows, tuning, threshold, holdout metrics, cross-validation.
 
     The threshold comes from validation scores of a model that has not seen the validation rows; the
-    winner is then fit again on fit and validation rows together. `max_rows=None` trains on all rows.
+    winner is then fit again on a sample of both. `max_rows` bounds the rows that a model is fit on
+    (None: all train rows), `cv_max_rows` those of each fold's model. Validation takes every other train
+    row, cross-validation scores all of them. `parallelism` folds are fit at a time.
     """
     key = F.col(KEY)
     policies = stratified_split(prepare_policies(raw, seed), LABEL, TEST_FRACTION, seed, key)
     train, test = (policies.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
-    sample = train
-    if max_rows is not None:
-        # The few rows left would otherwise sit in as many tasks as the table, in every boosting round.
-        sample = stratified_sample(train, LABEL, max_rows, seed, _again(seed, "fit"))
-        sample = sample.repartition(math.ceil(max_rows / SAMPLE_ROWS_PER_TASK))
-    sample = materialize(sample)
-    halves = stratified_split(sample, LABEL, TEST_FRACTION, seed, _again(seed, "valid"), "part")
-    fit_rows = materialize(halves.filter("part = 'train'").drop("part"))
-    valid_rows = halves.filter("part = 'test'").drop("part")
+    order = _again(seed, "fit")
+    parts = stratified_fit_split(train, LABEL, max_rows, TEST_FRACTION, seed, order)
+    fit_rows = materialize(parts.filter("part = 'fit'").drop("part"))
+    valid_rows = parts.filter("part = 'valid'").drop("part")
 
     candidate, params, _ = tune(fit_rows, valid_rows, grid)
     valid = materialize(predict_probability(candidate, valid_rows).select(LABEL, PROBABILITY))
@@ -76,13 +73,15 @@ def train_and_evaluate(
     threshold = select_threshold(sweep, min_recall).first().threshold
     comparison = model_comparison(valid.withColumn("model", F.lit(MODEL_NAME)), LABEL, PROBABILITY)
 
+    sample = train if max_rows is None else materialize(stratified_sample(train, LABEL, max_rows, seed, order))
     model = train_boosted(sample, params)
     scored = predict_probability(model, test).select(LABEL, PROBABILITY)
     holdout = materialize(evaluate(scored, LABEL, PROBABILITY, threshold))
 
-    cv_rows = stratified_sample(sample, LABEL, CV_ROWS_MAX, seed, _again(seed, "cv"))
-    cv_rows = materialize(stratified_kfold(cv_rows, LABEL, folds, seed, _again(seed, "folds")))
-    cv = materialize(cross_validate(cv_rows, threshold, params, folds))
+    cv_rows = materialize(stratified_kfold(train, LABEL, folds, seed, _again(seed, "folds")))
+    cv = materialize(
+        cross_validate(cv_rows, threshold, params, folds, max_rows=cv_max_rows, key=_again(seed, "cv"), parallelism=parallelism)
+    )
 
     report = _report(params, min_recall, threshold, holdout, cv, claim_rate(policies, LABEL, ["split"]))
     cells = F.transform("confusion_matrix", lambda r: F.struct(r[0].alias("Pred_0"), r[1].alias("Pred_1")))
