@@ -6,7 +6,7 @@ sorts over whole tables. Rounding matches the registered queries.
 
 from __future__ import annotations
 
-from riskloom.schema import CATEGORICAL, FEATURES, NUMERIC
+from riskloom.schema import CATEGORICAL, FEATURES, NUMERIC, POLICY_COLUMNS
 
 ORACLES: dict[str, str] = {}
 
@@ -316,6 +316,48 @@ oracle(
     f"""SELECT {r("CAST(greatest(sum(1 - CLAIM), 1) AS DOUBLE) / greatest(sum(CLAIM), 1)")} AS class_weight FROM labelled""",
 )
 
+# --- model ----------------------------------------------------------------------------------------
+# SQL can't grow the trees. It states the rows of each side, and what must hold of any model.
+
+PARTS["train"] = f"""train AS (
+SELECT {IDS}, CLAIM, {ROW_KEY} AS k42, {ROW_KEY.replace('42', '1')} AS k FROM split WHERE split = 'train')"""
+PARTS["sampled"] = """sampled AS (
+SELECT CLAIM, CASE WHEN n <= 30000 THEN nc ELSE CAST(round_even(CAST(30000 AS DOUBLE) / n * nc, 0) AS BIGINT) END AS nc
+FROM (SELECT CLAIM, count(*) AS nc, CAST(sum(count(*)) OVER () AS BIGINT) AS n FROM train GROUP BY CLAIM))"""
+PARTS["held"] = """held AS (
+SELECT CLAIM, nc - q - CASE WHEN row_number() OVER (ORDER BY rem DESC, CLAIM) <= want - sum(q) OVER () THEN 1 ELSE 0 END AS fit
+FROM (SELECT CLAIM, nc, want, want * nc // n AS q, want * nc % n AS rem FROM (
+  SELECT CLAIM, nc, n, CAST(ceil(0.2 * n) AS BIGINT) AS want FROM (SELECT *, CAST(sum(nc) OVER () AS BIGINT) AS n FROM sampled))))"""
+PARTS["sides"] = f"""sides AS (
+SELECT {IDS}, CLAIM, CASE WHEN rn <= fit THEN 'fit' ELSE 'valid' END AS part
+FROM (SELECT *, row_number() OVER (PARTITION BY CLAIM ORDER BY k) AS rn FROM train) JOIN held USING (CLAIM))"""
+SIDES = SPLIT + " train sampled held sides"
+oracle("a5_save_load_model", "policies_raw", f"SELECT {IDS}, TRUE AS same FROM policies_raw")
+oracle("f2_train_boosted", SIDES, f"SELECT {IDS}, CLAIM, TRUE AS is_probability FROM sides WHERE part = 'valid'")
+oracle(
+    "f3_tune",
+    SIDES,
+    "SELECT part, count(*) AS n_rows, CAST(sum(CLAIM) AS BIGINT) AS n_claims, TRUE AS found FROM sides GROUP BY part",
+)
+oracle("f4_predict_probability", "policies_raw", f"SELECT {IDS}, TRUE AS is_probability FROM policies_raw")
+oracle(
+    "f5_cross_validate",
+    SPLIT,
+    """SELECT CAST(f AS INT) AS fold, CAST(sum(CASE WHEN CLAIM = 0 THEN c ELSE 0 END) AS BIGINT) AS negatives,
+CAST(sum(CASE WHEN CLAIM = 1 THEN c ELSE 0 END) AS BIGINT) AS positives FROM (
+SELECT CLAIM, f, CAST((first + nc - f + 4) // 5 - (first - f + 4) // 5 AS BIGINT) AS c FROM (
+SELECT CLAIM, nc, CAST(coalesce(sum(nc) OVER (ORDER BY CLAIM ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first
+FROM (SELECT CLAIM, count(*) AS nc FROM split WHERE split = 'train' GROUP BY CLAIM)) CROSS JOIN (SELECT unnest(range(5)) AS f))
+GROUP BY f""",
+)
+FIT_SLOTS = " + ".join(f"count(DISTINCT {c})" for c in CATEGORICAL)
+oracle(
+    "f6_feature_importance",
+    SIDES + " parsed derived",
+    f"""SELECT {FIT_SLOTS} + {len(NUMERIC)} AS slots, CAST(1 AS DOUBLE) AS total
+FROM derived SEMI JOIN (SELECT * FROM sides WHERE part = 'fit') USING ({IDS})""",
+)
+
 # --- aggregates and metrics -----------------------------------------------------------------------
 
 oracle(
@@ -430,3 +472,24 @@ oracle(
     SCORED,
     f"SELECT {IDS}, {DECIDED} AS prediction FROM scored ORDER BY {IDS} LIMIT 20",
 )
+oracle(
+    "h8_score_batch",
+    "policies_raw",
+    f"""SELECT {IDS}, {", ".join(POLICY_COLUMNS)}, CAST(coalesce(CLAIM_PAID, 0) > 0 AS INT) AS actual_from_claim_paid, TRUE AS follows
+FROM policies_raw""",
+)
+oracle(
+    "h8_score_batch_top_pct",
+    "policies_raw",
+    "SELECT count(*) AS n_rows, greatest(1, count(*) * 10 // 100) AS n_flagged, TRUE AS highest_flagged FROM policies_raw",
+)
+# The latest date and the production years are those of the table itself.
+LATEST = "(SELECT greatest(max(b), max(e)) FROM parsed)"
+OWN_RULES = {k: v.replace("DATE '2001-12-31'", LATEST) for k, v in RULES.items() if k != "PROD_YEAR_OUT_OF_RANGE"}
+OWN_REASONS = "concat_ws(',', " + ", ".join(f"CASE WHEN {v} THEN '{k}' END" for k, v in sorted(OWN_RULES.items())) + ")"
+for name in ("h9_score_policies", "h9_score_policies_reference_cutoff"):
+    oracle(
+        name,
+        "policies_raw parsed",
+        f"SELECT *, reasons = '' AS decided FROM (SELECT {IDS}, {OWN_REASONS} AS reasons FROM parsed)",
+    )

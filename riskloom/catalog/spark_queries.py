@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cache
 
 from pyspark.ml import Pipeline
@@ -28,9 +29,8 @@ QUERIES: dict[str, Query] = {}
 
 THRESHOLD = 0.5
 DIGITS = 6
-# The tuned model's rounds; tuning and cross-validation fit many models and take fewer.
-ROUNDS = 200
-CV_ROUNDS = 2
+# The tuned model: 200 rounds.
+PARAMS = boosting.BoostParams()
 CHECK_BOUNDS = {"prod_year_min": 1980, "prod_year_max": 1999, "policy_max_date": "2001-12-31"}
 
 
@@ -127,8 +127,9 @@ def _(spark, folder):
 def _(spark, folder):
     path = scratch_path(spark, "model")
     save_model(_model(spark, folder), path)
-    scored = boosting.predict_probability(load_model(path), _features(spark, folder))
-    return scored.select(*ROW_IDS, boosting.PROBABILITY)
+    before = boosting.predict_probability(_model(spark, folder), _features(spark, folder), "before")
+    scored = boosting.predict_probability(load_model(path), before, "after")
+    return scored.select(*ROW_IDS, (F.col("before") == F.col("after")).alias("same"))
 
 
 # --- cleaning, projections, validation ----------------------------------------------------------
@@ -317,18 +318,21 @@ def _(spark, folder):
 
 @cache
 def _fit_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Fit and validation rows: train side of the split, sampled to the training cap, split again."""
+    """Fit rows, bounded by the training cap, and all other rows of the train side."""
     rows = cleaning.with_claim_label(_distinct(spark, folder))
     rows = materialize(select_features(policy_features(rows), *ROW_IDS, LABEL))
     train = sampling.stratified_split(rows, LABEL, key=row_key(rows, ROW_IDS)).filter("split = 'train'").drop("split")
-    sample = sampling.stratified_sample(train, LABEL, TRAIN_ROWS_MAX, key=row_key(rows, ROW_IDS, seed=1))
-    halves = materialize(sampling.stratified_split(sample, LABEL, key=row_key(rows, ROW_IDS, seed=2)))
-    return tuple(halves.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
+    parts = materialize(sampling.stratified_fit_split(train, LABEL, TRAIN_ROWS_MAX, key=row_key(rows, ROW_IDS, seed=1)))
+    return tuple(parts.filter(F.col("part") == part).drop("part") for part in ("fit", "valid"))
+
+
+def _is_share(column: str) -> Column:
+    return F.col(column).between(0, 1)
 
 
 @cache
 def _model(spark: SparkSession, folder: str):
-    return boosting.train_boosted(_fit_rows(spark, folder)[0], boosting.BoostParams(n_estimators=ROUNDS))
+    return boosting.train_boosted(_fit_rows(spark, folder)[0], PARAMS)
 
 
 @query("f1_class_weight")
@@ -339,20 +343,24 @@ def _(spark, folder):
 @query("f2_train_boosted")
 def _(spark, folder):
     valid = _fit_rows(spark, folder)[1]
-    return boosting.predict_probability(_model(spark, folder), valid).select(*ROW_IDS, LABEL, boosting.PROBABILITY)
+    scored = boosting.predict_probability(_model(spark, folder), valid)
+    return scored.select(*ROW_IDS, LABEL, _is_share(boosting.PROBABILITY).alias("is_probability"))
 
 
 @query("f3_tune")
 def _(spark, folder):
-    grid = [boosting.BoostParams(n_estimators=CV_ROUNDS, max_depth=depth) for depth in (3, 4)]
-    _, params, value = boosting.tune(*_fit_rows(spark, folder), grid)
-    return spark.createDataFrame([(params.max_depth, value)], "max_depth int, pr_auc double")
+    fit, valid = _fit_rows(spark, folder)
+    grid = [replace(PARAMS, max_depth=depth) for depth in (3, 4)]
+    _, params, value = boosting.tune(fit, valid, grid)
+    sides = fit.select(F.lit("fit").alias("part"), LABEL).unionByName(valid.select(F.lit("valid").alias("part"), LABEL))
+    counted = sides.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(LABEL).alias("n_claims"))
+    return counted.withColumn("found", F.lit(params in grid and 0 <= value <= 1))
 
 
 @query("f4_predict_probability")
 def _(spark, folder):
     scored = boosting.predict_probability(_model(spark, folder), _features(spark, folder))
-    return scored.select(*ROW_IDS, boosting.PROBABILITY)
+    return scored.select(*ROW_IDS, _is_share(boosting.PROBABILITY).alias("is_probability"))
 
 
 @query("f5_cross_validate")
@@ -360,12 +368,15 @@ def _(spark, folder):
     fit, valid = _fit_rows(spark, folder)
     rows = fit.unionByName(valid)
     folds = materialize(sampling.stratified_kfold(rows, LABEL, 5, key=_key(rows)))
-    return boosting.cross_validate(folds, THRESHOLD, boosting.BoostParams(n_estimators=CV_ROUNDS), 5)
+    found = boosting.cross_validate(folds, THRESHOLD, PARAMS, 5, max_rows=TRAIN_ROWS_MAX, key=_key(rows), parallelism=4)
+    m = F.col("confusion_matrix")
+    return found.select("fold", (m[0][0] + m[0][1]).alias("negatives"), (m[1][0] + m[1][1]).alias("positives"))
 
 
 @query("f6_feature_importance")
 def _(spark, folder):
-    return boosting.feature_importance(_model(spark, folder), _features(spark, folder))
+    found = boosting.feature_importance(_model(spark, folder), _features(spark, folder))
+    return found.agg(F.count(F.lit(1)).alias("slots"), F.round(F.sum("importance"), DIGITS).alias("total"))
 
 
 # --- aggregates and metrics ---------------------------------------------------------------------
@@ -527,13 +538,27 @@ def _(spark, folder):
 
 @query("h8_score_batch")
 def _(spark, folder):
-    return score_batch(_policies(spark, folder), _model(spark, folder), THRESHOLD)
+    scored = score_batch(_policies(spark, folder), _model(spark, folder), THRESHOLD)
+    p, match = F.col(boosting.PROBABILITY), F.col("prediction") == F.col("actual_from_claim_paid")
+    follows = (F.col("prediction") == (p >= THRESHOLD).cast("int")) & (F.col("risk_level") == risk_label(p)) & (F.col("prediction_match") == match)
+    return scored.select(*ROW_IDS, *POLICY_COLUMNS, "actual_from_claim_paid", follows.alias("follows"))
 
 
 @query("h8_score_batch_top_pct")
 def _(spark, folder):
     rows = _policies(spark, folder)
-    return score_batch(rows, _model(spark, folder), top_percent=10, key=_key(rows))
+    scored = score_batch(rows, _model(spark, folder), top_percent=10, key=_key(rows))
+    p, flagged = F.col(boosting.PROBABILITY), F.col("prediction") == 1
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(flagged).alias("n_flagged"),
+        (F.min(F.when(flagged, p)) >= F.max(F.when(~flagged, p))).alias("highest_flagged"),
+    )
+
+
+def _checked(scored: DataFrame) -> DataFrame:
+    decided = F.col("prediction").isNotNull() & _is_share(boosting.PROBABILITY)
+    return scored.select(*ROW_IDS, F.array_join("reasons", ",").alias("reasons"), decided.alias("decided"))
 
 
 @query("h9_score_policies")
@@ -541,7 +566,7 @@ def _(spark, folder):
     rows = _policies(spark, folder)
     model = _model(spark, folder)
     bounds = profiles.reference_profile(rows).first().asDict()
-    return score_policies(rows, model, THRESHOLD, bounds)
+    return _checked(score_policies(rows, model, THRESHOLD, bounds))
 
 
 @query("h9_score_policies_reference_cutoff")
@@ -550,4 +575,4 @@ def _(spark, folder):
     model = _model(spark, folder)
     cutoff = score_cutoff(rows, model, 10, key=_key(rows))
     bounds = profiles.reference_profile(rows).first().asDict()
-    return score_policies(rows, model, cutoff, bounds)
+    return _checked(score_policies(rows, model, cutoff, bounds))
