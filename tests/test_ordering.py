@@ -10,7 +10,7 @@ from riskloom.operators import ordering
 from riskloom.operators.ordering import assign_segments, cumulate, exact_quantiles, row_key
 from riskloom.operators.ranking import decide_reference_cutoff, decide_top_pct, percentile_cutoff, top_segments, top_x_report
 from riskloom.operators.sampling import (
-    fold_quotas, sample_n, sample_quotas, stratified_kfold, stratified_sample, stratified_split, split_quotas,
+    fold_quotas, sample_n, sample_quotas, split_quotas, stratified_fit_split, stratified_kfold, stratified_sample, stratified_split,
 )
 from riskloom.session import materialize
 
@@ -193,3 +193,25 @@ def test_reference_cutoff_needs_scores(spark):
     assert [r.prediction for r in decide_reference_cutoff(df, "p", df, 10).orderBy("p").collect()] == [0, 1]
     with pytest.raises(ValueError, match="no reference scores"):
         decide_reference_cutoff(df, "p", df.limit(0), 10)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_missing_values_rank_alike_at_every_size(spark, monkeypatch, descending):
+    values = [(None, 3), (float("nan"), 5), *((float(v), 1) for v in range(40))]
+    df = materialize(spark.createDataFrame(values, "v double, n long").repartition(3))
+    found = []
+    for size in (7, 1_000_000):
+        monkeypatch.setattr(ordering, "ROWS_PER_BUCKET", size)
+        found.append(sorted((str(r.v), r.cum_n) for r in cumulate(df, "v", ["n"], descending=descending).collect()))
+    assert found[0] == found[1]
+
+
+def test_many_strata_and_fit_rows(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 150).alias("label"))
+    split = stratified_split(df, "label", 0.2).groupBy("label").agg(F.count_if(F.col("split") == "test").alias("n")).collect()
+    assert len(split) == 150 and {r.n for r in split} == {4}
+    two = df.select("id", (F.col("id") % 2).alias("label"))
+    parts = {r.part: r["count"] for r in stratified_fit_split(two, "label", 1000, 0.2).groupBy("part").count().collect()}
+    assert parts == {"fit": 800, "valid": 2200}
+    assert stratified_fit_split(two, "label", None, 0.2).filter("part = 'fit'").count() == 2400
+    assert stratified_fit_split(two.limit(0), "label", 10).count() == 0
