@@ -56,6 +56,20 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc-by-sa-4.0-grant"]),
     ("Proprietary", ["all-rights-reserved"]),
 ]
+# More sentences, as a split at BOUNDARY yields them from the full public texts: MIT's first one goes on to its
+# colon, and a GPL header is split after "free software", with a semicolon (version 2) once more.
+STANDARD_SENTENCES = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-permission",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl-3.0-or-later-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl-2.0-or-later-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-redistribution",
+    "either version 3 of the license or at your option any later version": "gpl-3.0-or-later-version",
+    "either version 2 of the license or at your option any later version": "gpl-2.0-or-later-version",
+}
+STANDARD_RULES = [
+    ("GPL-3.0-or-later", ["gpl-redistribution", "gpl-3.0-or-later-version"]),
+    ("GPL-2.0-or-later", ["gpl-redistribution", "gpl-2.0-or-later-version"]),
+]
 # A rule's finding hides one whose identifiers it holds too.
 HIDES = {"BSD-3-Clause": "BSD-2-Clause"}
 BOUNDARY = r"[.;:!?][ \t\r]+|[.;:!?]?\n|[.;:!?]$"
@@ -78,10 +92,11 @@ def scan_licenses(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     have no sentences. Each row is handled alone: one pass without a shuffle, and repeated rows give
     repeated results. All whole rows come back, also those without a license.
     """
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
+    identifiers_of = SENTENCES | STANDARD_SENTENCES
+    known = F.create_map(*(F.lit(x) for pair in identifiers_of.items() for x in pair))
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # Splitting costs most; rows in which no first word of any sentence appears skip it.
-    openers = sorted({s.split()[0] for s in SENTENCES})
+    openers = sorted({s.split()[0] for s in identifiers_of})
     suspect = F.col("text").rlike(r"(?i)\b(" + "|".join(openers) + r")\b")
     sentences = F.transform(F.split("text", BOUNDARY), normalised)
     found = F.filter(F.transform(sentences, lambda s: known[s]), lambda i: i.isNotNull())
@@ -91,7 +106,7 @@ def scan_licenses(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     order = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))
     rows = rows.withColumn("order", order)
     names: dict[str, Column] = {}
-    for name, identifiers in RULES:
+    for name, identifiers in RULES + STANDARD_RULES:
         hit = F.col("order").rlike(_rule_pattern(identifiers))
         names[name] = names[name] | hit if name in names else hit
     for name, hidden in HIDES.items():

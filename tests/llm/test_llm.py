@@ -221,6 +221,33 @@ def test_license_rules(spark):
     }
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""
+GPL = """This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation{1} either version {2} of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+"""
+GPL_2, GPL_3 = GPL.format(";", ";", 2), GPL.format(":", ",", 3)
+
+
+def _licenses(spark, texts):
+    rows = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [r["licenses"] for r in sorted(rows, key=lambda r: r["doc_id"])]
+
+
+def test_licenses_of_full_public_texts(spark):
+    texts = [MIT, GPL_2, GPL_3, GPL.format(";", ",", 2), GPL.format(":", ";", 3), GPL_3.replace("General", "Lesser General")]
+    assert _licenses(spark, texts) == [["MIT"], ["GPL-2.0-or-later"], ["GPL-3.0-or-later"], ["GPL-2.0-or-later"], ["GPL-3.0-or-later"], []]
+
+
 def _check_packing(rows, n_rows, most):
     by = defaultdict(list)
     for r in rows:
