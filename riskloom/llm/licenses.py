@@ -56,7 +56,7 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc-by-sa-4.0-grant"]),
     ("Proprietary", ["all-rights-reserved"]),
 ]
-# More sentences, as a split at BOUNDARY yields them from the full public texts: MIT's first one goes on to its
+# More sentences, as the ends of sentences yield them from the full public texts: MIT's first one goes on to its
 # colon, and a GPL header is split after "free software", with a semicolon (version 2) once more.
 STANDARD_SENTENCES = {
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-permission",
@@ -72,12 +72,33 @@ STANDARD_RULES = [
 ]
 # A rule's finding hides one whose identifiers it holds too.
 HIDES = {"BSD-3-Clause": "BSD-2-Clause"}
-BOUNDARY = r"[.;:!?][ \t\r]+|[.;:!?]?\n|[.;:!?]$"
+# Sentences of so many words are no passing mention: wrapped ones may follow a line without an end of its own.
+LONG_WORDS = 15
+# No groups repeat in these: long runs of marks or blank lines would fill the stack.
+COMMENT_MARKS = r"(?md)^[ \t#*;!:%'\">/]*+(?:<!--++|--++)?+[ \t]*+(?:(?:dnl|rem|c)(?=[ \t\r\n]))?+"
+LIST_MARKERS = r"(?md)^[ \t]*(?:[-+\x{2022}]|\(?(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[.)])[ \t]+"
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower-case ASCII letters and digits with single spaces between."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def normalised(text: Column) -> Column:
+    """Lower-case ASCII letters and digits with single spaces between; S where a sentence ends, L at other line ends.
+
+    A sentence ends at . ; : ! or ? before white space, at blank lines and at list markers.
+    """
+    text = F.regexp_replace(F.lower(text), COMMENT_MARKS, "")
+    text = F.regexp_replace(text, LIST_MARKERS, " S ")
+    text = F.regexp_replace(text, r"[.;:!?](?:[ \t\r\n]|$)", " S ")
+    text = F.trim(F.regexp_replace(F.regexp_replace(text, "\n", " L "), "[^a-z0-9SL]+", " "))
+    return F.regexp_replace(F.concat(F.lit("S "), text, F.lit(" S")), "[SL ]{4,}", " S ")
+
+
+def _sentence_pattern(sentences: list[str]) -> str:
+    """A sentence from end to end over any lines, or from line end to line end on one line; the longest first."""
+    ordered = sorted(sentences, key=len, reverse=True)
+    over_lines = {s: s.replace(" ", "(?: L)? ") for s in ordered}
+    whole = "|".join(over_lines.values())
+    long = "|".join(over_lines[s] for s in ordered if len(s.split()) >= LONG_WORDS)
+    line = "|".join(ordered)
+    return f"(?<=S )(?:{whole})(?= S)|(?<=L )(?:{long})(?= S)|(?<=[SL] )(?:{line})(?= [SL])"
 
 
 def _rule_pattern(identifiers: list[str]) -> str:
@@ -87,19 +108,22 @@ def _rule_pattern(identifiers: list[str]) -> str:
 def scan_licenses(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: its id, `sentence_ids` (identifiers in order) and `licenses` (found names, sorted).
 
-    A sentence ends at a line end, or at . ; : ! or ? before white space. Only whole sentences count,
-    compared after normalising, so running text that mentions a license is none. Null and empty texts
+    A sentence ends at . ; : ! or ? before white space, at blank lines and at list markers, and goes on
+    over single line ends, with or without comment marks; else a line counts as a sentence. Only whole
+    sentences count, compared after normalising, so running text that mentions a license is none. Of
+    those that overlap, the first and longest counts. Null and empty texts
     have no sentences. Each row is handled alone: one pass without a shuffle, and repeated rows give
     repeated results. All whole rows come back, also those without a license.
     """
     identifiers_of = SENTENCES | STANDARD_SENTENCES
     known = F.create_map(*(F.lit(x) for pair in identifiers_of.items() for x in pair))
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # Splitting costs most; rows in which no first word of any sentence appears skip it.
+    # Normalising costs most; rows in which no first word of any sentence appears skip it.
     openers = sorted({s.split()[0] for s in identifiers_of})
     suspect = F.col("text").rlike(r"(?i)\b(" + "|".join(openers) + r")\b")
-    sentences = F.transform(F.split("text", BOUNDARY), normalised)
-    found = F.filter(F.transform(sentences, lambda s: known[s]), lambda i: i.isNotNull())
+    pattern = _sentence_pattern(list(identifiers_of))
+    sentences = F.regexp_extract_all(normalised(F.col("text")), F.lit(pattern), F.lit(0))
+    found = F.transform(sentences, lambda s: known[F.regexp_replace(s, " L ", " ")])
     rows = rows.select(
         "doc_id", F.when(suspect, found).otherwise(F.array().cast("array<string>")).alias("sentence_ids")
     )

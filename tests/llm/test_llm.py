@@ -2,6 +2,7 @@
 
 import math
 import random
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -248,6 +249,54 @@ def test_licenses_of_full_public_texts(spark):
     assert _licenses(spark, texts) == [["MIT"], ["GPL-2.0-or-later"], ["GPL-3.0-or-later"], ["GPL-2.0-or-later"], ["GPL-3.0-or-later"], []]
 
 
+BSD = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+BSD_3 = BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+
+
+def _wrapped(text, width, mark="", end="\n"):
+    lines = [x for line in text.split("\n") for x in (textwrap.wrap(line, width) or [""])]
+    return end.join(mark + line for line in lines)
+
+
+@pytest.mark.parametrize("mark, end", [("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\n"), (";; ", "\n"), ("-- ", "\n"), ("! ", "\n"), ("rem ", "\n"), ("> ", "\n")])
+def test_licenses_of_wrapped_texts(spark, mark, end):
+    texts = [MIT, GPL_2, GPL_3, BSD, BSD_3, BSD_3.replace("1. ", "(a) ").replace("2. ", "b) ").replace("3. ", "- "), APACHE]
+    names = [["MIT"], ["GPL-2.0-or-later"], ["GPL-3.0-or-later"], ["BSD-2-Clause", "Proprietary"], ["BSD-3-Clause", "Proprietary"], ["BSD-3-Clause", "Proprietary"], ["Apache-2.0"]]
+    for width in (40, 72, 80):
+        assert _licenses(spark, [_wrapped(t, width, mark, end) for t in texts]) == names
+
+
+def test_wrapped_lines_around_a_notice(spark):
+    permission = MIT.split("\n\n", 2)[2]
+    texts = [
+        "Copyright (c) 2020 Some One\n" + _wrapped(permission, 70),
+        "Some project\n\nThis project is licensed under\nthe MIT License\n\nMore",
+        "He said it was\nreleased under\nthe MIT License\nlast year.",
+        "- Licensed under the\n- MIT License",
+        "a line\nReleased under the MIT License\nanother",
+        _wrapped(MIT, 70).replace("included in all", "left out of all"),
+    ]
+    assert _licenses(spark, texts) == [["MIT"], ["MIT"], [], [], ["MIT"], []]
+
+
+def test_licenses_beside_long_runs(spark):
+    runs = ["#" * 200_000, "\n" * 200_000, "* " * 100_000, ". " * 100_000, "- \n" * 50_000, " " * 200_000]
+    texts = [f"{run}\n\n{_wrapped(MIT, 70)}\n{run}" for run in runs]
+    assert _licenses(spark, texts) == [["MIT"]] * len(runs)
+
+
 def _check_packing(rows, n_rows, most):
     by = defaultdict(list)
     for r in rows:
