@@ -29,12 +29,12 @@ def _lines(text: Column) -> Column:
 
 
 def drop_site_boilerplate(
-    pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, least: int = 1
 ) -> DataFrame:
     """The given rows and columns with boilerplate lines taken out of `text`, plus `lines` and `dropped_lines`.
 
     A line is boilerplate on a host if more than `ratio` of the host's pages hold it, on hosts of at
-    least `min_pages` pages. Lines count once a page, after trimming spaces; blank lines are neither
+    least `min_pages` pages, and at least `least` pages do. Lines count once a page, after trimming spaces; blank lines are neither
     counted nor dropped. A row without a host keeps all lines; a null text stays null and counts as a
     page with none. Equal rows stay equal rows; the added columns replace columns of those names.
 
@@ -50,7 +50,8 @@ def drop_site_boilerplate(
         .agg(F.count("*").alias("holding"))
     )
     # A line on so many pages stands on as many at least; the rest never reaches the join.
-    often = found.filter(F.col("holding") > F.lit(ratio) * F.lit(min_pages)).join(totals, "host")
+    often = found.filter((F.col("holding") > F.lit(ratio) * F.lit(min_pages)) & (F.col("holding") >= least))
+    often = often.join(totals, "host")
     often = often.filter((F.col("pages") >= min_pages) & (F.col("holding") > F.lit(ratio) * F.col("pages")))
     boilerplate = stored(often.groupBy("host").agg(F.collect_list("line").alias("lines")), "boilerplate")
     size = boilerplate.agg(F.sum(F.length(F.concat_ws("", "lines")) + 64)).first()[0] or 0

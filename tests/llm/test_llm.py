@@ -352,6 +352,21 @@ def test_boilerplate(spark):
     assert drop_site_boilerplate(spark.createDataFrame([], "host string, text string"), "host", "text").count() == 0
 
 
+def _pipeline_cut(spark, rows):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    return {r["doc_id"]: r for r in corpus_pipeline.without_boilerplate(spark, docs, "").collect()}
+
+
+def test_shared_lines_of_a_large_source_go(spark):
+    banner, passage = "a banner", "passage " * 60 + "end"
+    texts = [f"own {i}" + f"\n{banner}" * (i % 40 == 0) + f"\n{passage}" * (i % 60 == 1) + "\ntwice" * (i < 2) for i in range(3000)]
+    got = _pipeline_cut(spark, [(i, t, "big" if i < 2900 else "rest", len(t)) for i, t in enumerate(texts)])
+    assert all(banner not in r["text"] and passage not in r["text"] for r in got.values() if r["source"] == "big")
+    assert got[0]["text"] == "own 0\ntwice" and got[0]["n_chars"] == len("own 0\ntwice") and got[2]["text"] == "own 2"
+
+
 def test_shards(spark, folder, odd, empty):
     documents = spark.read.parquet(f"{folder}/documents.parquet")
     first, again = (sorted((r["doc_id"], r["shard"], r["slot"]) for r in shuffle_into_shards(documents).collect()) for _ in range(2))
