@@ -28,7 +28,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, without lines on too many documents of their source; n_chars follows the text."""
-    cut = drop_site_boilerplate(docs, "source", "text", ratio=SOURCE_RATIO, least=SOURCE_LEAST)
+    cut = drop_site_boilerplate(docs, "source", "text", ratio=SOURCE_RATIO, min_pages=1, least=SOURCE_LEAST)
     length = F.when(F.col("dropped_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", length).select(*docs.columns)
 

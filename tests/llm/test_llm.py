@@ -367,6 +367,12 @@ def test_shared_lines_of_a_large_source_go(spark):
     assert got[0]["text"] == "own 0\ntwice" and got[0]["n_chars"] == len("own 0\ntwice") and got[2]["text"] == "own 2"
 
 
+def test_small_sources_lose_shared_lines_too(spark):
+    rows = [(i, f"own {i}\ntop", "five" if i < 5 else "two", 10) for i in range(7)]
+    got = _pipeline_cut(spark, rows)
+    assert {i: r["text"] for i, r in got.items()} == {i: f"own {i}" if i < 5 else f"own {i}\ntop" for i in range(7)}
+
+
 def test_shards(spark, folder, odd, empty):
     documents = spark.read.parquet(f"{folder}/documents.parquet")
     first, again = (sorted((r["doc_id"], r["shard"], r["slot"]) for r in shuffle_into_shards(documents).collect()) for _ in range(2))
