@@ -67,7 +67,7 @@ class Lengths:
         if found or gap < 3:
             return found
         first = np.arange(gap - 2, 0, -1)
-        for a in first[self.single[first] & self.pairs[gap - first]][:8]:
+        for a in first[self.single[first] & self.pairs[gap - first]]:
             if two := self._two(gap - int(a), [*used, int(a)]):
                 return [int(a), *two]
         return None

@@ -17,7 +17,7 @@ from riskloom.llm.compression import score_texts
 from riskloom.llm.decontamination import drop_contaminated, find_contaminated
 from riskloom.llm.embeddings import near_duplicate_vectors
 from riskloom.llm.licenses import scan_licenses
-from riskloom.llm.packing import WordTokens, pack_documents, plan_packing, tokenizer_path
+from riskloom.llm.packing import Lengths, WordTokens, pack_documents, plan_packing, tokenizer_path
 from riskloom.llm.quality import score_quality, train_quality
 from riskloom.llm.sharding import shuffle_into_shards
 from riskloom.llm.similarity import bitmap, jaccard_groups, keep_one_of_each_group, tree_join
@@ -335,6 +335,13 @@ def test_packing_plan_uses_all_pieces():
     assert used == Counter(counts)
 
 
+def test_no_exact_complement_is_skipped():
+    # Eight first lengths find a pair only by using a length twice that is left once.
+    once = [3**k for k in range(8)]
+    counts = {k: 1 for k in [*once, *(20_000 - 2 * k for k in once), 6_999, 6_600, 6_401]}
+    assert Lengths(counts, 20_000).complement(20_000, []) == [6_999, 6_600, 6_401]
+
+
 def test_word_tokens_are_those_of_whole_texts():
     texts = ["It's DON'T x\x1cy", "İX ΑΣ ΟΔΟΣ.", "é \xa0 x", "a<|endoftext|>b", "", "1,234.5%%% $$$", "été ﬁn 中文", "x_y__z_ thon''"]
     coder = WordTokens(tokenizer_path())
