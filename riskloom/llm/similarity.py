@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -140,7 +140,7 @@ def _node(shingles: np.ndarray) -> int | None:
 
 
 def _fingerprints(documents: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, n, node, common): size and name of the set, and shingles met often in some batch."""
+    """(doc_id, key, n, node, common): size and name of the set, and shingles met often in some batch."""
 
     def read(batches):
         for batch in batches:
@@ -152,11 +152,11 @@ def _fingerprints(documents: DataFrame, kind: str) -> DataFrame:
             lists = [common if i == 0 else common[:0] for i in range(len(sets))]
             sizes, nodes = [len(s) for s in sets], [_node(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), ragged(lists, pa.int64())],
-                ["doc_id", "n", "node", "common"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), ragged(lists, pa.int64())],
+                ["doc_id", "key", "n", "node", "common"],
             )
 
-    return documents.mapInArrow(read, f"doc_id {kind}, n long, node long, common array<long>")
+    return documents.mapInArrow(read, f"doc_id {kind}, key long, n long, node long, common array<long>")
 
 
 def _route(documents: DataFrame, common: np.ndarray) -> DataFrame:
@@ -360,11 +360,21 @@ def jaccard_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     has rows of several groups finds pairs that may link, and all shingles of both decide. Rounds that
     took only the likeliest partners are repeated with more until none is left out.
     """
+    return _groups(documents, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def _text_key(text: Column) -> Column:
+    """Tells rows of one id apart by their text."""
+    return F.xxhash64(text.cast("string"))
+
+
+def _groups(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The result of jaccard_groups with the `key` of each row's text and its `component`, named by a set."""
     spark = documents.sparkSession
     small_batches(spark)
     kind = documents.schema[doc_id].dataType.simpleString()
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    prints = stored(_fingerprints(rows, kind), "prints")
+    prints = stored(_fingerprints(rows.withColumn("key", _text_key(F.col("text"))), kind), "prints")
     often = prints.select(F.explode("common").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
     often = often.orderBy(F.desc("c"), "token").limit(COMMON_SHINGLES).select("token").toArrow().column(0).to_numpy()
     classes = prints.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"))
@@ -405,24 +415,30 @@ def jaccard_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
 
     classes = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = classes.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = classes.join(least, "component").select("node", "component_id")
-    out = prints.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")).join(named, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = classes.join(least, "component").select("node", "component", "component_id")
+    node = F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")
+    out = prints.select("doc_id", "key", "n", node).join(named, "node", "left")
+    component_id = F.coalesce("component_id", "doc_id").alias("component_id")
+    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), "component", component_id)
 
 
 def keep_one_of_each_group(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows, with all columns, whose id is the least of their group; of rows that repeat an id, one.
+    """The rows, with all columns, whose id is the least of their group; of a group's rows that repeat it, one.
 
-    Rows without shingles or without an id are no one's copies and all stay.
+    Rows without shingles or without an id are no one's copies and all stay. Each row goes or stays by
+    its own text, also where an id stands on rows with different texts.
     """
-    groups = stored(jaccard_groups(documents, doc_id, text), "groups")
-    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    dropped = groups.filter(~alone & (F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
+    groups = stored(_groups(documents, doc_id, text).filter("doc_id IS NOT NULL AND n_shingles > 0"), "groups")
+    dropped = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")).distinct()
     dropped = stored(dropped, "dropped")
-    repeated = groups.filter(~alone & (F.col("doc_id") == F.col("component_id"))).groupBy("doc_id").count().filter("count > 1")
-    kept = documents.join(maybe_broadcast(dropped, dropped.count()), documents[doc_id] == F.col("gone"), "left_anti")
+    least = groups.filter("doc_id = component_id").select("doc_id", "component", "key")
+    repeated = stored(least.groupBy("doc_id", "component").agg(F.count("*").alias("n"), F.collect_set("key").alias("keys")).filter("n > 1"), "repeated")
+    key = _text_key(documents[text])
+    kept = documents.join(maybe_broadcast(dropped, dropped.count()), (documents[doc_id] == F.col("gone")) & (key == F.col("gone_key")), "left_anti")
     if repeated.isEmpty():
         return kept
-    again = kept.join(repeated.select(F.col("doc_id").alias("again")), kept[doc_id] == F.col("again"), "left_semi")
-    single = kept.join(repeated.select(F.col("doc_id").alias("again")), kept[doc_id] == F.col("again"), "left_anti")
-    return single.union(again.dropDuplicates([doc_id]))
+    again = repeated.select(F.col("doc_id").alias("again"), F.col("component").alias("again_component"), F.explode("keys").alias("again_key"))
+    same = (kept[doc_id] == F.col("again")) & (_text_key(kept[text]) == F.col("again_key"))
+    single = kept.join(again, same, "left_anti")
+    one = kept.join(again, same).dropDuplicates(["again", "again_component"])
+    return single.union(one.select(*(kept[c] for c in documents.columns)))

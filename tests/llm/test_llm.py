@@ -112,6 +112,13 @@ def test_groups_of_odd_rows(odd, empty):
     assert sorted(r[0] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7]
 
 
+def test_an_id_on_rows_with_different_texts(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(12)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, c), (4, "other words"), (4, None), (4, None), (4, ""), (None, a)]
+    got = keep_one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(tuple(r) for r in got) == Counter([(1, a), (2, b), (4, c), (4, "other words"), (4, None), (4, None), (4, ""), (None, a)])
+
+
 def test_groups_of_chains_and_families(spark):
     random.seed(5)
     words = [f"w{k}" for k in range(4000)]
