@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.archive import archived_pages
 from riskloom.llm.boilerplate import drop_site_boilerplate, html_lines, url_host
 from riskloom.llm.compression import score_texts
 from riskloom.llm.decontamination import find_contaminated
 from riskloom.llm.embeddings import near_duplicate_vectors
+from riskloom.llm.infilling import transform_digests
 from riskloom.llm.licenses import scan_licenses
 from riskloom.llm.oracles import ORACLES
 from riskloom.llm.packing import pack_documents
 from riskloom.llm.quality import score_quality, train_quality
+from riskloom.llm.retrieval import rank_documents
 from riskloom.llm.sharding import shuffle_into_shards
 from riskloom.llm.similarity import jaccard_groups
 from riskloom.llm.toxicity import score_toxicity, train_toxicity
@@ -79,6 +82,19 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_documents(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def archived(spark: SparkSession, folder: str) -> DataFrame:
+    records = archived_pages(_read(spark, folder, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def infilled(spark: SparkSession, folder: str) -> DataFrame:
+    return transform_digests(_read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": contamination,
     "op2_embedding_near_dedup": vectors,
@@ -90,4 +106,7 @@ QUERIES = {
     "op8_line_dedup": boilerplate,
     "op9_quality_classifier": quality,
     "op10_sharding": shards,
+    "op11_ranked_search": ranked,
+    "op12_warc_archive": archived,
+    "op13_fill_in_middle": infilled,
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,20 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
+    """`small_batches` for what is computed inside; the caller's settings are back afterwards, errors or not."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = {name: spark.conf.get(name, None) for name in names}
+    small_batches(spark)
+    spark.conf.set(names[0], str(rows))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def crc_of_id(doc_id: Column | str) -> Column:
     """crc32 of the id as text; a row without an id counts as the empty text."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -112,10 +112,63 @@ SELECT doc_id, array_to_string(sentence_ids, ',') AS sentence_ids,
 """
 
 
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED = rf"""
+WITH texts AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+sized AS (SELECT doc_id, terms, len(terms) AS n FROM texts WHERE len(terms) > 0),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS length FROM sized),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+postings AS (
+  SELECT doc_id, any_value(n) AS n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM sized)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w, docs, length
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length)))) AS BIGINT) AS score
+  FROM postings JOIN weights USING (term) JOIN asked USING (term) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+ARCHIVED = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+led AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS leader FROM payloads)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND leader <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND leader <> page_id THEN leader END AS refers_to
+FROM led
+"""
+
+INFILLED = """
+WITH digests AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+draws AS (
+  SELECT *, CAST('0x' || d[1:8] AS BIGINT) AS h1, CAST('0x' || d[9:16] AS BIGINT) AS h2,
+    CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4 FROM digests),
+cuts AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM draws),
+formed AS (
+  SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM cuts),
+parts AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 ORACLES = {
     "op1_benchmark_decontamination": CONTAMINATED,
     "op2_embedding_near_dedup": VECTORS,
     "op5_license_scan": _licenses(),
     "op6_ngram_jaccard_join": GROUPS,
     "op8_line_dedup": BOILERPLATE,
+    "op11_ranked_search": RANKED,
+    "op12_warc_archive": ARCHIVED,
+    "op13_fill_in_middle": INFILLED,
 }
