@@ -368,7 +368,7 @@ def _(spark, folder):
     fit, valid = _fit_rows(spark, folder)
     rows = fit.unionByName(valid)
     folds = materialize(sampling.stratified_kfold(rows, LABEL, 5, key=_key(rows)))
-    found = boosting.cross_validate(folds, THRESHOLD, PARAMS, 5, max_rows=TRAIN_ROWS_MAX, key=_key(rows), parallelism=4)
+    found = boosting.cross_validate(folds, THRESHOLD, PARAMS, 5, max_rows=TRAIN_ROWS_MAX, key=_key(rows))
     m = F.col("confusion_matrix")
     return found.select("fold", (m[0][0] + m[0][1]).alias("negatives"), (m[1][0] + m[1][1]).alias("positives"))
 

@@ -1,12 +1,11 @@
 """Exact order statistics without a global sort in one task.
 
-A window without a partition would send every row to a single task. Three shapes replace it:
+A window without a partition would send every row to a single task. Two shapes replace it (values at
+exact ranks are a third, see `selection`):
 
 * `cumulate`: running totals over an already counted table (one row per distinct value). The value
   range is cut into buckets of bounded size; each bucket runs its own window and adds the total of
   the buckets before it.
-* `exact_quantiles`: a sketch brackets the wanted rank, then only values inside the bracket are
-  counted exactly.
 * `find_cuts` / `assign_segments`: exact-size slices of a hash order. Counting by hash prefix finds
   the key at which each slice ends, so rows are labelled by a comparison and never shuffled.
 """
@@ -15,9 +14,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
-from fractions import Fraction
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -28,8 +24,7 @@ from riskloom.session import materialize
 
 ROWS_PER_BUCKET = 1_000_000
 BUCKETS_MAX = 4096
-BROADCAST_ROWS_MAX = 1_000_000
-SKETCH_ACCURACY = 10_000
+BROADCAST_ROWS_MAX = 200_000
 PREFIX_DIGITS = 3
 COPIES_PER_TASK = 100_000
 LOWEST = float("-inf")
@@ -98,70 +93,6 @@ def cumulate(
     )
 
 
-# --- quantiles ----------------------------------------------------------------------------------
-
-
-def exact_quantiles(df: DataFrame, columns: dict[str, Column], q: Fraction) -> dict[str, float | None]:
-    """Linear-interpolated quantile q of each named DOUBLE column; None where all values are NULL."""
-    slack = 3 / SKETCH_ACCURACY
-    levels = [max(0.0, float(q) - slack), min(1.0, float(q) + slack)]
-    sketch = df.agg(
-        *[F.count(c).alias(f"{n}#n") for n, c in columns.items()],
-        *[F.percentile_approx(c, levels, SKETCH_ACCURACY).alias(f"{n}#b") for n, c in columns.items()],
-    ).first()
-    sizes = {n: sketch[f"{n}#n"] for n in columns}
-    brackets = {n: tuple(sketch[f"{n}#b"]) for n in columns if sizes[n]}
-    found = _ranked_values(df, {n: columns[n] for n in brackets}, brackets, sizes, q)
-    missed = [n for n in brackets if n not in found]
-    if missed:  # the sketch bracket did not hold the rank: count the whole value range
-        everything = dict.fromkeys(missed, (LOWEST, HIGHEST))
-        found |= _ranked_values(df, {n: columns[n] for n in missed}, everything, sizes, q)
-    return {n: found.get(n) for n in columns}
-
-
-def _ranked_values(df, columns, brackets, sizes, q):
-    """Quantiles whose two neighbouring ranks lie inside the bracket."""
-    if not columns:
-        return {}
-
-    def inside(name: str) -> Column:
-        low, high = brackets[name]
-        col = columns[name]
-        # Values under the bracket are only counted: they share one row, whatever their number.
-        return F.when(col < low, F.lit(LOWEST)).when(col <= high, col).alias(name)
-
-    cells = df.select(*[inside(n) for n in columns]).unpivot([], list(columns), "name", "value")
-    counted = cells.filter(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    at_most = sum(sizes[n] for n in columns)
-    if at_most > ROWS_PER_BUCKET:
-        counted = materialize(counted)
-    ranks = {n: divmod(q.numerator * (sizes[n] - 1), q.denominator) for n in columns}
-
-    def holds(rank: int) -> Column:  # rank counts from 0
-        return (F.col("cum_n") > rank) & (F.col("cum_n") - F.col("n") <= rank)
-
-    wanted = [
-        (F.col("name") == n) & (holds(low) | holds(min(low + 1, sizes[n] - 1)))
-        for n, (low, _) in ranks.items()
-    ]
-    running = cumulate(counted, "value", ["n"], by=["name"], at_most=at_most)
-    rows = running.filter(reduce(Column.__or__, wanted)).collect()
-    result = {}
-    for name, (low, rest) in ranks.items():
-        at = {}
-        for row in rows:
-            if row.name == name:
-                for rank in (low, min(low + 1, sizes[name] - 1)):
-                    if row.cum_n - row.n <= rank < row.cum_n:
-                        at[rank] = row.value
-        top = min(low + 1, sizes[name] - 1)
-        reads_floor = brackets[name][0] > LOWEST and LOWEST in at.values()
-        if low in at and top in at and not reads_floor:
-            share = rest / q.denominator
-            result[name] = at[low] if share == 0 else at[low] + (at[top] - at[low]) * share
-    return result
-
-
 # --- slices of a hash order ---------------------------------------------------------------------
 
 
@@ -184,135 +115,113 @@ def _opaque(col: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, col)
 
 
-@dataclass(frozen=True)
-class Cut:
-    """Where one slice ends inside a stratum: `taken` of the `copies` rows at `key` belong before."""
-
-    stratum: str
-    index: int
-    key: str
-    taken: int
-    copies: int
+Quotas = Callable[[dict[str, int]], dict[str, list[int]]]
 
 
-Quotas = Callable[[dict[str, int]], dict[str, list[int]]]
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast of a counted table within the bound; beyond it the join shuffles."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS_MAX else df
 
 
-def find_cuts(df: DataFrame, key: Column, stratum: Column, quotas: Quotas) -> tuple[list[Cut], dict]:
-    """Keys at which the slices end, and the end ranks.
+def find_cuts(df: DataFrame, key: Column, stratum: Column, quotas: Quotas) -> tuple[DataFrame, int, int]:
+    """The cut table (stratum, base, cuts), its number of rows, and how many keys are cut within their copies.
 
-    `quotas` maps stratum sizes to ascending end ranks per stratum. Two passes: counts by hash prefix
-    (at most 4096 small rows per stratum), then counts by key within the few prefixes that hold an end.
-    The driver sees one size per stratum and one row per end.
+    `base` of a stratum's ends lie before its first row; `cuts` is an array of (key, i, taken, copies) in
+    key order: where slice i ends, `taken` of the `copies` rows at `key` belong before the end. `quotas`
+    maps stratum sizes to ascending end ranks. Two passes: counts by hash prefix (at most 4096 small rows
+    a stratum), then counts by key within the prefixes that hold an end. The driver sees a size and a
+    few ends of each stratum; plans don't grow with their number.
     """
+    spark = df.sparkSession
     keyed = df.select(stratum.alias("stratum"), _opaque(key).alias("key")).withColumn(
         "prefix", F.substring("key", 1, PREFIX_DIGITS)
     )
     counts = materialize(keyed.groupBy("stratum", "prefix").agg(F.count(F.lit(1)).alias("n")))
     sizes = {row.stratum: row.n for row in counts.groupBy("stratum").agg(F.sum("n").alias("n")).collect()}
     ranks = quotas(sizes)
-    ends = [(s, i, end) for s, of in ranks.items() for i, end in enumerate(of) if 0 < end < sizes[s]]
-    if not ends:
-        return [], ranks
-
-    ends = df.sparkSession.createDataFrame(ends, "of string, i int, end long")
-    before = Window.partitionBy("stratum").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-    running = counts.withColumn("cum_n", F.sum("n").over(before))
-    held = running.join(ends, F.col("stratum") == F.col("of")).filter("cum_n >= end AND cum_n - n < end")
-    held = held.select("stratum", "i", "prefix", (F.col("end") - F.col("cum_n") + F.col("n")).alias("rank"), "n").collect()
-    local = [(row.stratum, row.i, row.prefix, row["rank"]) for row in held]  # rank within the prefix
-
-    scopes = sorted({(s, prefix) for s, _, prefix, _ in local})
-    at_most = sum({(row.stratum, row.prefix): row.n for row in held}.values())
-    keys = (
-        keyed.filter(F.concat("prefix", "stratum").isin([prefix + s for s, prefix in scopes]))
-        .groupBy("stratum", "prefix", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    if at_most > ROWS_PER_BUCKET:
-        keys = materialize(keys)
-    position = F.conv(F.substring("key", 1, 13), 16, 10).cast("double")
-    running = cumulate(keys, "key", ["n"], by=["stratum", "prefix"], position=position, at_most=at_most)
-    holds_end = [
-        (F.col("stratum") == s)
-        & (F.col("prefix") == prefix)
-        & (F.col("cum_n") >= end)
-        & (F.col("cum_n") - F.col("n") < end)
-        for s, _, prefix, end in local
-    ]
-    rows = running.filter(reduce(Column.__or__, holds_end)).collect()
-    cuts = []
-    for s, i, prefix, end in local:
-        row = next(
-            r for r in rows if (r.stratum, r.prefix) == (s, prefix) and r.cum_n - r.n < end <= r.cum_n
-        )
-        cuts.append(Cut(s, i, row.key, end - (row.cum_n - row.n), row.n))
-    return cuts, ranks
+    cuts: dict[str, list[tuple]] = {}
+    wanted = [(s, i, end) for s, of in ranks.items() for i, end in enumerate(of) if 0 < end < sizes[s]]
+    if wanted:
+        ends = _small(spark.createDataFrame(wanted, "stratum string, i int, end long"), len(wanted))
+        before = Window.partitionBy("stratum").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+        running = counts.withColumn("cum_n", F.sum("n").over(before)).join(ends, "stratum")
+        held = running.filter("cum_n >= end AND cum_n - n < end")
+        held = held.select("stratum", "prefix", "i", (F.col("end") - F.col("cum_n") + F.col("n")).alias("rank"), "n").collect()
+
+        scopes = {(row.stratum, row.prefix): row.n for row in held}
+        inside = _small(spark.createDataFrame(list(scopes), "stratum string, prefix string"), len(scopes))
+        keys = keyed.join(inside, ["stratum", "prefix"]).groupBy("stratum", "prefix", "key").agg(F.count(F.lit(1)).alias("n"))
+        at_most = sum(scopes.values())
+        if at_most > ROWS_PER_BUCKET:
+            keys = materialize(keys)
+        position = F.conv(F.substring("key", 1, 13), 16, 10).cast("double")
+        running = cumulate(keys, "key", ["n"], by=["stratum", "prefix"], position=position, at_most=at_most)
+        local = spark.createDataFrame([tuple(row)[:4] for row in held], "stratum string, prefix string, i int, rank long")
+        found = running.join(_small(local, len(held)), ["stratum", "prefix"]).filter("cum_n >= rank AND cum_n - n < rank")
+        for row in found.select("stratum", "key", "i", (F.col("rank") - F.col("cum_n") + F.col("n")).alias("taken"), "n").collect():
+            cuts.setdefault(row.stratum, []).append(tuple(row)[1:])
+    rows = [(s, sum(1 for end in of if end <= 0), sorted(cuts.get(s, []))) for s, of in ranks.items()]
+    schema = "stratum string, base int, cuts array<struct<key: string, i: int, taken: long, copies: long>>"
+    torn = {(s, key) for s, of in cuts.items() for key, _, taken, copies in of if taken < copies}
+    return spark.createDataFrame(rows, schema), len(rows), len(torn)
+
+
+def _is_torn(cut: Column) -> Column:
+    return cut["taken"] < cut["copies"]
 
 
 def assign_segments(
-    df: DataFrame, key: Column, stratum: Column, quotas: Quotas, out: str = "segment"
+    df: DataFrame, key: Column, stratum: Column, quotas: Quotas, out: str = "segment", keyed: DataFrame | None = None
 ) -> DataFrame:
     """Labels each row with the number of slices that end before it, per stratum in key order.
 
     `key` may repeat only on exact copies (row_key does so). Where a slice ends within the copies of
-    one row, each side gets its exact number of them.
+    one row, each side gets its exact number of them. Rows meet the cut table in a join that broadcasts
+    it, up to BROADCAST_ROWS_MAX strata. `keyed`, if given, is a smaller table with the same keys and
+    strata, as columns of the names `key` and `stratum`, to find the cuts from.
     """
-    cuts, ranks = find_cuts(df, key, stratum, quotas)
-    ends = {(c.stratum, c.index): c.key for c in cuts}
-    label = None
-    for s, stratum_ranks in ranks.items():
-        past = F.lit(0)
-        for i, end in enumerate(stratum_ranks):
-            past = past + ((F.col("__key") > ends[s, i]).cast("int") if (s, i) in ends else F.lit(int(end <= 0)))
-        label = (F if label is None else label).when(F.col("__stratum") == s, past)
-    label = F.lit(0) if label is None else label
-    keyed = df.withColumns({"__key": _opaque(key), "__stratum": stratum})
-
-    torn = _torn_keys(ranks, cuts)
+    if keyed is None:
+        table, strata, torn = find_cuts(df, key, stratum, quotas)
+    else:
+        table, strata, torn = find_cuts(keyed, F.col("key"), F.col("stratum"), quotas)
+    cuts = table.select(F.col("stratum").alias("__stratum"), F.col("base").alias("__base"), F.col("cuts").alias("__cuts"))
+    rows = df.withColumns({"__key": _opaque(key), "__stratum": stratum}).join(_small(cuts, strata), "__stratum", "left")
+    label = F.col("__base") + F.size(F.filter("__cuts", lambda c: c["key"] < F.col("__key")))
+    helpers = ["__key", "__stratum", "__base", "__cuts"]
+    order = [*df.columns, out] if out not in df.columns else df.columns
     if not torn:
-        return keyed.withColumn(out, label).drop("__key", "__stratum")
-    at_torn = F.concat("__key", "__stratum").isin([k + s for s, k in torn])
-    whole = keyed.filter(~at_torn).withColumn(out, label)
-    return whole.unionByName(_deal_copies(keyed.filter(at_torn), torn, out)).drop("__key", "__stratum")
-
-
-def _torn_keys(ranks, cuts: list[Cut]) -> dict[tuple[str, str], list[tuple[int, int]]]:
-    """Rows whose copies fall on both sides of an end: (segment, number of copies) shares."""
-    torn = {}
-    for s, k in {(c.stratum, c.key) for c in cuts if c.taken < c.copies}:
-        here = sorted((c for c in cuts if (c.stratum, c.key) == (s, k)), key=lambda c: c.index)
-        segment = sum(
-            1
-            for i, end in enumerate(ranks[s])
-            if end <= 0 or any(c.stratum == s and c.index == i and c.key < k for c in cuts)
-        )
-        shares, dealt = [], 0
-        for cut in here:
-            shares.append((segment, cut.taken - dealt))
-            segment, dealt = segment + 1, cut.taken
-        shares.append((segment, here[0].copies - dealt))
-        torn[s, k] = [(seg, n) for seg, n in shares if n > 0]
-    return torn
+        return rows.withColumn(out, label).drop(*helpers).select(*[F.col(f"`{c}`") for c in order])
+
+    at_torn = F.coalesce(F.exists("__cuts", lambda c: (c["key"] == F.col("__key")) & _is_torn(c)), F.lit(False))
+    whole = rows.filter(~at_torn).withColumn(out, label).drop(*helpers)
+    dealt = _deal_copies(rows.filter(at_torn), torn, out).drop(*helpers)
+    return whole.unionByName(dealt).select(*[F.col(f"`{c}`") for c in order])
 
 
-def _deal_copies(rows: DataFrame, torn, out: str) -> DataFrame:
+def _deal_copies(rows: DataFrame, torn: int, out: str) -> DataFrame:
     """One row per distinct copy group, repeated to its exact number per segment.
 
     Copies collapse before the shuffle and are dealt out again in chunks across all tasks.
     """
-    single = materialize(rows.dropDuplicates())
-    if single.count() != len(torn):
+    hidden = [c for c in rows.columns if c != "__cuts"]
+    single = materialize(rows.groupBy(*[F.col(f"`{c}`") for c in hidden]).agg(F.any_value("__cuts").alias("__cuts")))
+    if single.count() != torn:
         raise ValueError("the order key is shared by rows that are not copies of each other")
-    chunks = None
-    for (s, k), shares in torn.items():
-        cells = [F.struct(F.lit(seg).alias("segment"), F.lit(n).cast("long").alias("n")) for seg, n in shares]
-        here = (F.col("__stratum") == s) & (F.col("__key") == k)
-        chunks = (F if chunks is None else chunks).when(here, F.array(*cells))
-    columns = rows.columns
+    here = F.filter("__cuts", lambda c: c["key"] == F.col("__key"))
+    first = F.col("__base") + F.size(F.filter("__cuts", lambda c: c["key"] < F.col("__key")))
+
+    def share(j: Column) -> Column:
+        """Copies between the end before and the j-th end here; the last share reaches to the last copy."""
+        done = F.when(j > 0, F.get(F.col("__here"), (j - 1).cast("int"))["taken"]).otherwise(F.lit(0))
+        upto = F.coalesce(F.get(F.col("__here"), j.cast("int"))["taken"], F.get(F.col("__here"), F.lit(0))["copies"])
+        return F.struct((F.col("__first") + j).cast("int").alias("segment"), (upto - done).alias("n"))
+
+    shared = single.withColumns({"__here": here, "__first": first})
+    shares = F.filter(F.transform(F.sequence(F.lit(0), F.size("__here")), share), lambda s: s["n"] > 0)
     last_chunk = F.expr(f"(__share.n - 1) div {COPIES_PER_TASK}")
+    columns = [F.col(f"`{c}`") for c in rows.columns if c != out]
     return (
-        single.select(*columns, F.explode(chunks).alias("__share"))
+        shared.select(*columns, F.explode(shares).alias("__share"))
         .select(*columns, "__share", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("__chunk"))
         .repartition("__share", "__chunk")
         .withColumn("__n", F.least(F.lit(COPIES_PER_TASK), F.expr(f"__share.n - __chunk * {COPIES_PER_TASK}")))

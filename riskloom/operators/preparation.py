@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from fractions import Fraction
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSizeHint, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -16,33 +16,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from riskloom.functions.parsing import number_column
-from riskloom.operators.ordering import exact_quantiles
+from riskloom.operators.selection import exact_quantiles
 from riskloom.schema import CATEGORICAL, NUMERIC
 
 FILLED, INDEX, ONE_HOT = "__filled", "__index", "__onehot"
+# The only category of a column without any value; encoders refuse an empty name.
+NO_CATEGORY = "(none)"
 FEATURES_COLUMN = "features"
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians (midpoint of the two middle values) of all columns in two scans."""
+    """Exact medians (midpoint of the two middle values) of all columns, each pass one aggregate over all of them."""
     return exact_quantiles(df, {c: number_column(df, c) for c in columns}, Fraction(1, 2))
 
 
-def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
-    """Most frequent value of each column as text, the smallest on ties; one scan for all."""
+def _category_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by, name, value, n, size): counts per column and value as text; `size` orders values of number columns."""
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, NumericType)]
     by_size = F.when(F.col("name").isin(numeric), F.col("value").try_cast("double"))
-    best = F.min(F.struct((-F.col("n")).alias("rank"), by_size.alias("size"), F.col("value").alias("value")))
-    rows = (
-        df.select(*[F.col(c).cast("string") for c in columns])
-        .unpivot([], list(columns), "name", "value")
+    return (
+        df.select(*by, *[F.col(c).cast("string") for c in columns])
+        .unpivot(list(by), list(columns), "name", "value")
         .filter(F.col("value").isNotNull())
-        .groupBy("name", "value")
+        .groupBy(*by, "name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("name")
-        .agg(best.alias("best"))
-        .collect()
+        .withColumn("size", by_size)
     )
+
+
+def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
+    """Most frequent value of each column as text, the smallest on ties; one scan for all."""
+    best = F.min(F.struct((-F.col("n")).alias("rank"), "size", "value"))
+    rows = _category_counts(df, columns, []).groupBy("name").agg(best.alias("best")).collect()
     found = {row["name"]: row["best"]["value"] for row in rows}
     return {c: found.get(c) for c in columns}
 
@@ -59,6 +64,12 @@ def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _named(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns with an empty text as a missing one."""
+    text = [c for c in columns if not isinstance(df.schema[c].dataType, NumericType)]
+    return df.withColumns({c: F.nullif(F.col(c).cast("string"), F.lit("")) for c in text})
+
+
 class _Columns(Params):
     numericCols = Param(Params._dummy(), "numericCols", "columns filled with their median", TypeConverters.toListString)
     categoricalCols = Param(
@@ -76,13 +87,13 @@ class PolicyImputer(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
 
     def _fit(self, df: DataFrame) -> "PolicyImputerModel":
         numeric, categorical = self.getOrDefault("numericCols"), self.getOrDefault("categoricalCols")
-        middle, common = medians(df, numeric), modes(df, categorical)
+        middle, common = medians(df, numeric), modes(_named(df, categorical), categorical)
         # A column without any value carries no information; a constant keeps the width stable.
         return PolicyImputerModel(
             numericCols=numeric,
             categoricalCols=categorical,
             numericFills=[0.0 if middle[c] is None else middle[c] for c in numeric],
-            categoricalFills=["" if common[c] is None else common[c] for c in categorical],
+            categoricalFills=[NO_CATEGORY if common[c] is None else common[c] for c in categorical],
         )
 
 
@@ -103,7 +114,7 @@ class PolicyImputerModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWr
         numbers = zip(self.getOrDefault("numericCols"), self.getOrDefault("numericFills"))
         texts = zip(self.getOrDefault("categoricalCols"), self.getOrDefault("categoricalFills"))
         filled = {c + FILLED: F.coalesce(number_column(df, c), F.lit(v)) for c, v in numbers}
-        filled |= {c + FILLED: F.coalesce(F.col(c).cast("string"), F.lit(v)) for c, v in texts}
+        filled |= {c + FILLED: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(v)) for c, v in texts}
         return df.withColumns(filled)
 
 
@@ -137,6 +148,44 @@ def preparation_stages(numeric: Sequence[str] = NUMERIC, categorical: Sequence[s
     return [imputer, *one_hot_stages(categorical, FILLED), assembler(numeric, categorical)]
 
 
+def learn_preparation(
+    df: DataFrame, by: str | None = None, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL
+) -> dict[object, PipelineModel]:
+    """Fitted preparation stages for each group of rows, equal to those that fitting on the group alone gives.
+
+    All groups are learned in the same passes: the medians' aggregates, and one count of categories that
+    yields modes and dictionaries both. Without `by` the only group is None. The driver holds each
+    group's dictionaries, as the fitted indexer does.
+    """
+    groups = [] if by is None else [by]
+    middle = exact_quantiles(df, {c: number_column(df, c) for c in numeric}, Fraction(1, 2), groups)
+    middle = middle if by is not None else {(): middle}
+    counted = _category_counts(_named(df, categorical), categorical, groups).groupBy(*groups, "name")
+    best = F.min(F.struct((-F.col("n")).alias("rank"), "size", "value"))
+    rows = counted.agg(best.alias("best"), F.collect_list("value").alias("values")).collect()
+    found = {(tuple(row[c] for c in groups), row["name"]): (row["best"]["value"], row["values"]) for row in rows}
+
+    fitted = {}
+    for group, medians_ in middle.items():
+        own = {c: found.get((group, c), (NO_CATEGORY, [NO_CATEGORY])) for c in categorical}
+        imputer = PolicyImputerModel(
+            numericCols=list(numeric),
+            categoricalCols=list(categorical),
+            numericFills=[0.0 if medians_[c] is None else medians_[c] for c in numeric],
+            categoricalFills=[own[c][0] for c in categorical],
+        )
+        # A column without any value is filled with the empty text, its only category then.
+        labels = [own[c][1] for c in categorical]
+        index, encode = one_hot_stages(categorical, FILLED)
+        # The indexer learns from the distinct values alone: so many rows as the longest list, short ones repeated.
+        rows = [tuple(of[i % len(of)] for of in labels) for i in range(max(map(len, labels)))]
+        index = index.fit(df.sparkSession.createDataFrame(rows, ", ".join(f"`{c}` string" for c in index.getInputCols())))
+        # The encoder reads the sizes from the columns' metadata, not from rows.
+        indexed = index.transform(imputer.transform(df.limit(0)))
+        fitted[group[0] if group else None] = PipelineModel([imputer, index, encode.fit(indexed), assembler(numeric, categorical)])
+    return fitted
+
+
 def working_columns(columns: Sequence[str]) -> list[str]:
     """The helper columns that the preparation stages leave behind."""
     return [c for c in columns if c.endswith((FILLED, INDEX, ONE_HOT))]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from riskloom.operators.ordering import assign_segments, row_key
 from riskloom.schema import SEED, TEST_FRACTION
 
 _NULL_STRATUM = "\u0000"
+_SEPARATOR = "\u0001"
 
 
 def _stratum(label: str) -> Column:
@@ -74,16 +76,30 @@ def stratified_split(
     return parts.withColumn(out, F.when(F.col(out) == 0, "test").otherwise("train"))
 
 
+def _grouped_quotas(sizes: dict[str, int], quotas: Callable[[dict[str, int]], dict]) -> dict:
+    """Quotas of each group by itself, where strata are named group, separator, class."""
+    groups: dict[str, dict[str, int]] = {}
+    for s, n in sizes.items():
+        group, _, own = s.partition(_SEPARATOR)
+        groups.setdefault(group, {})[own] = n
+    return {f"{g}{_SEPARATOR}{s}": q for g, of in groups.items() for s, q in quotas(of).items()}
+
+
 def stratified_sample(
-    df: DataFrame, label: str, max_rows: int, seed: int = SEED, key: Column | None = None
+    df: DataFrame, label: str, max_rows: int, seed: int = SEED, key: Column | None = None, by: str | None = None
 ) -> DataFrame:
-    """At most about max_rows rows with class shares kept; all rows if there are no more than that."""
+    """At most about max_rows rows with class shares kept; all rows if there are no more than that.
+
+    With `by`, so many of each of its values, which must not contain U+0001.
+    """
     key = row_key(df, seed=seed) if key is None else key
+    group = F.lit("") if by is None else F.coalesce(F.col(by).cast("string"), F.lit(_NULL_STRATUM))
 
     def ends(sizes):
-        return {s: [n] for s, n in sample_quotas(sizes, max_rows).items()}
+        return {s: [n] for s, n in _grouped_quotas(sizes, lambda of: sample_quotas(of, max_rows)).items()}
 
-    return assign_segments(df, key, _stratum(label), ends, "__segment").filter("__segment = 0").drop("__segment")
+    stratum = F.concat(group, F.lit(_SEPARATOR), _stratum(label))
+    return assign_segments(df, key, stratum, ends, "__segment").filter("__segment = 0").drop("__segment")
 
 
 def stratified_fit_split(

@@ -50,14 +50,14 @@ def train_and_evaluate(
     folds: int = CV_FOLDS,
     seed: int = SEED,
     cv_max_rows: int | None = CV_ROWS_MAX,
-    parallelism: int = 2,
+    parallelism: int = CV_FOLDS,
 ) -> Training:
     """Holdout split, bounded fit rows, tuning, threshold, holdout metrics, cross-validation.
 
     The threshold comes from validation scores of a model that has not seen the validation rows; the
     winner is then fit again on a sample of both. `max_rows` bounds the rows that a model is fit on
     (None: all train rows), `cv_max_rows` those of each fold's model. Validation takes every other train
-    row, cross-validation scores all of them. `parallelism` folds are fit at a time.
+    row, cross-validation scores all of them. `parallelism` candidates or folds are fit at a time.
     """
     key = F.col(KEY)
     policies = stratified_split(prepare_policies(raw, seed), LABEL, TEST_FRACTION, seed, key)
@@ -67,7 +67,7 @@ def train_and_evaluate(
     fit_rows = materialize(parts.filter("part = 'fit'").drop("part"))
     valid_rows = parts.filter("part = 'valid'").drop("part")
 
-    candidate, params, _ = tune(fit_rows, valid_rows, grid)
+    candidate, params, _ = tune(fit_rows, valid_rows, grid, parallelism=parallelism)
     valid = materialize(predict_probability(candidate, valid_rows).select(LABEL, PROBABILITY))
     sweep = materialize(threshold_sweep(valid, LABEL, PROBABILITY))
     threshold = select_threshold(sweep, min_recall).first().threshold

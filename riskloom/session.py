@@ -19,6 +19,7 @@ def local_session(cores: str = "*", app: str = "riskloom") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()

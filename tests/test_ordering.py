@@ -7,11 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import ordering
-from riskloom.operators.ordering import assign_segments, cumulate, exact_quantiles, row_key
+from riskloom.operators.ordering import assign_segments, cumulate, row_key
 from riskloom.operators.ranking import decide_reference_cutoff, decide_top_pct, percentile_cutoff, top_segments, top_x_report
 from riskloom.operators.sampling import (
     fold_quotas, sample_n, sample_quotas, split_quotas, stratified_fit_split, stratified_kfold, stratified_sample, stratified_split,
 )
+from riskloom.operators import selection
+from riskloom.operators.selection import exact_quantiles
 from riskloom.session import materialize
 
 
@@ -55,7 +57,7 @@ def test_median_takes_the_midpoint(spark):
 
 
 def test_quantile_outside_a_wrong_bracket(spark, monkeypatch):
-    monkeypatch.setattr(ordering.F, "percentile_approx", lambda c, levels, acc: F.array(F.lit(1e6), F.lit(2e6)))
+    monkeypatch.setattr(selection, "_sketch", lambda c, levels: F.any_value(F.array(F.lit(1e6), F.lit(2e6))))
     df = spark.createDataFrame([(float(v),) for v in range(11)], "v double")
     assert exact_quantiles(df, {"v": F.col("v")}, Fraction(1, 2)) == {"v": 5.0}
 
@@ -160,7 +162,7 @@ def test_top_pct_takes_at_least_one(spark):
 
 def test_top_segments_with_copies(spark):
     df = spark.range(90).select(F.lit("x").alias("v"), F.lit(0.5).alias("p"))
-    out = top_segments(df, "p", lambda n: [10, 45])
+    out = top_segments(df, "p", [11, 50], lambda n, percent: {11: 10, 50: 45}[percent])
     assert Counter(r.segment for r in out.collect()) == {0: 10, 1: 35, 2: 45}
 
 
