@@ -124,6 +124,18 @@ oracle(
 CCM_TON, MAKE, USAGE, CASE WHEN PROD_YEAR <> 'n/a' THEN PROD_YEAR END AS PROD_YEAR, CLAIM_PAID FROM policies_raw""",
 )
 
+_UNREAD = ", ".join(f"NULL AS {c}" for c in POLICY_COLUMNS)
+oracle(
+    "a1_reconcile_files",
+    "policies_raw",
+    f"""SELECT * EXCLUDE (policy_id, sup_k, part_k, u, PROD_YEAR, CLAIM_PAID, line_k),
+  CASE WHEN PROD_YEAR <> 'n/a' THEN PROD_YEAR END AS PROD_YEAR, CASE WHEN policy_id % 3 <> 2 THEN CLAIM_PAID END AS CLAIM_PAID,
+  CASE WHEN policy_id % 3 = 1 THEN 'a, b' END AS NOTE, CASE WHEN policy_id % 3 = 1 THEN CAST(line_k AS VARCHAR) END AS line_k,
+  CAST(NULL AS VARCHAR) AS raw_line FROM policies_raw
+UNION ALL BY NAME SELECT {_UNREAD}, NULL AS NOTE, NULL AS line_k, policy_id || ',' || sup_k || ',x' AS raw_line
+FROM policies_raw WHERE policy_id % 3 = 0 AND line_k = 1""",
+)
+
 CELLS = """SELECT {by} count(*) FILTER (y = 1 AND p >= {t}) AS tp, count(*) FILTER (y = 0 AND p >= {t}) AS fp,
 count(*) FILTER (y = 1 AND p < {t}) AS fn, count(*) FILTER (y = 0 AND p < {t}) AS tn FROM {src} {group}"""
 CELLS_ALL = CELLS.format(by="", t="0.5", src="scored", group="")
@@ -251,6 +263,7 @@ WHERE n <= 30000 OR rn <= round_even(CAST(30000 AS DOUBLE) / CAST(n AS DOUBLE) *
 )
 FOLDS = "policies_raw policies labelled sizes placed folds"
 oracle("d3_stratified_kfold", FOLDS, "SELECT * FROM folds")
+oracle("d4_grown_sample", "policies_raw", f"SELECT {IDS} FROM policies_raw ORDER BY {ROW_KEY} LIMIT 20000")
 oracle("d4_sample_n", "policies_raw", f"SELECT {IDS} FROM policies_raw ORDER BY {ROW_KEY} LIMIT 50000")
 
 # --- model input ----------------------------------------------------------------------------------

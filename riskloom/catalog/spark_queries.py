@@ -16,6 +16,7 @@ from riskloom.functions.parsing import clamp_date, number_column, parse_policy_d
 from riskloom.operators import boosting, cleaning, decisions, metrics, preparation, profiles, ranking, sampling
 from riskloom.operators.features import policy_features, select_features
 from riskloom.operators.ordering import row_key
+from riskloom.operators.reference import extend_sample, read_sample, write_sample
 from riskloom.plans.scoring import score_batch, score_cutoff, score_policies
 from riskloom.schema import CATEGORICAL, LABEL, NUMERIC, POLICY_COLUMNS, TRAIN_ROWS_MAX
 from riskloom.session import materialize, scratch_path, skew_safe
@@ -91,6 +92,22 @@ def _(spark, folder):
     return read_policies(spark, path)
 
 
+@query("a1_reconcile_files")
+def _(spark, folder):
+    """Files that differ in order, number and names of columns, and lines of the wrong width, read as one table."""
+    policies = order_policies(spark, folder)
+    lot = F.col("policy_id") % 3
+    path = scratch_path(spark, "mixed")
+    write_table_csv(policies.filter(lot == 0).select(POLICY_COLUMNS[::-1]), f"{path}/reordered")
+    write_table_csv(policies.filter(lot == 1).select("line_k", *POLICY_COLUMNS, F.lit("a, b").alias("NOTE")), f"{path}/extra")
+    write_table_csv(policies.filter(lot == 2).select([c for c in POLICY_COLUMNS if c != "CLAIM_PAID"]), f"{path}/missing")
+    wrong = policies.filter((lot == 0) & (F.col("line_k") == 1)).select("policy_id", "sup_k", F.lit("x").alias("MAKE"))
+    # The one column is named like a whole header, so its lines have three fields under fourteen names.
+    line = F.concat_ws(",", "policy_id", "sup_k", "MAKE").alias(",".join(POLICY_COLUMNS))
+    wrong.select(line).write.option("header", True).option("sep", "\u0001").csv(f"{path}/ragged")
+    return read_policies(spark, [f"{path}/{part}" for part in ("reordered", "extra", "missing", "ragged")], corrupt="raw_line")
+
+
 @query("a2_read_report")
 def _(spark, folder):
     path = scratch_path(spark, "report")
@@ -247,6 +264,17 @@ def _(spark, folder):
     return sampling.stratified_kfold(policies, LABEL, key=_key(policies))
 
 
+@query("d4_grown_sample")
+def _(spark, folder):
+    """A stored sample that takes the second half of the rows without reading the first again."""
+    policies = order_policies(spark, folder)
+    halves = [policies.filter(F.col("policy_id") % 2 == half) for half in (0, 1)]
+    path = scratch_path(spark, "sample")
+    write_sample(halves[0], path, 20_000, ROW_IDS, _key(halves[0]))
+    extend_sample(halves[1], path, _key(halves[1]))
+    return read_sample(spark, path)
+
+
 @query("d4_sample_n")
 def _(spark, folder):
     policies = order_policies(spark, folder)

@@ -15,6 +15,8 @@ def decide_threshold(p: Column, threshold: float) -> Column:
 
 
 def risk_label(p: Column) -> Column:
+    """Risk level of a probability; a missing one or NaN is LOW, as it is no claim."""
+    p = F.nullif(p.cast("double"), F.lit(float("nan")))
     return F.when(p >= HIGH_RISK, "HIGH").when(p >= MEDIUM_RISK, "MEDIUM").otherwise("LOW")
 
 

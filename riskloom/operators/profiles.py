@@ -38,7 +38,8 @@ def reference_profile(df: DataFrame) -> DataFrame:
     c = F.col
     begin = parse_policy_date(c("INSR_BEGIN"), [POLICY_DATE])
     end = parse_policy_date(c("INSR_END"), [POLICY_DATE])
-    year = number_column(df, "PROD_YEAR")
+    # A year beyond INT is no year; it must not hide the others.
+    year = number_column(df, "PROD_YEAR").try_cast("int")
 
     def default(name: str):
         value = F.lit(DEFAULT_PROFILE[name])
@@ -54,8 +55,8 @@ def reference_profile(df: DataFrame) -> DataFrame:
     latest = F.coalesce(c("date_max"), default("policy_max_date"))
     first = F.when(c("begin_min").isNotNull(), F.greatest(c("begin_min"), F.lit(POLICY_MIN_DATE).cast("date")))
     return seen.select(
-        F.coalesce(c("year_min").try_cast("int"), default("prod_year_min")).alias("prod_year_min"),
-        F.coalesce(c("year_max").try_cast("int"), default("prod_year_max")).alias("prod_year_max"),
+        F.coalesce("year_min", default("prod_year_min")).alias("prod_year_min"),
+        F.coalesce("year_max", default("prod_year_max")).alias("prod_year_max"),
         latest.alias("policy_max_date"),
         F.coalesce(first, default("policy_default_begin")).alias("policy_default_begin"),
         F.when(first.isNotNull(), F.least(F.add_months(first, 12), latest))

@@ -11,8 +11,8 @@ from riskloom.operators.boosting import PROBABILITY, predict_probability
 from riskloom.operators.cleaning import policy_violations
 from riskloom.operators.decisions import actual_and_match, with_outcome_note, with_risk_level
 from riskloom.operators.features import policy_features, select_features
-from riskloom.operators.ranking import decide_top_pct, reference_cutoff
-from riskloom.operators.sampling import sample_n
+from riskloom.operators.ranking import decide_top_pct, percentile_cutoff_value
+from riskloom.operators.reference import draw_sample
 from riskloom.schema import DEFAULT_PROFILE, DEFAULT_THRESHOLD, FEATURES, POLICY_COLUMNS, REFERENCE_SAMPLE
 from riskloom.session import materialize
 
@@ -76,8 +76,8 @@ def score_cutoff(
     key: Column | None = None,
 ) -> float | None:
     """Top-X% cutoff of a reference table: sample first, score only the sample. Worth storing."""
-    sample = score_probability(sample_n(reference, n, key=key), model).select(PROBABILITY)
-    return reference_cutoff(materialize(sample), PROBABILITY, percent, n)
+    sample = score_probability(draw_sample(reference, n, key=key), model).select(PROBABILITY)
+    return percentile_cutoff_value(materialize(sample), PROBABILITY, percent)
 
 
 def _entered(value: object, kind: str) -> object:

@@ -37,7 +37,6 @@ FEATURES = [
 NUMERIC = [c for c in FEATURES if c not in CATEGORICAL]
 
 CODE_COLUMNS = ["SEX", "INSR_TYPE"]
-TEXT_COLUMNS = ["TYPE_VEHICLE", "MAKE", "USAGE", "INSR_BEGIN", "INSR_END", "PROD_YEAR"]
 AMOUNT_COLUMNS = [*RAW_NUMERIC, "CLAIM_PAID"]
 POLICY_COLUMNS = [
     "SEX",
