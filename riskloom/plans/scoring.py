@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.decisions import decide_threshold
+from riskloom.functions.decisions import decide_threshold, outcome_note, risk_label
+from riskloom.functions.parsing import claim_label
 from riskloom.operators.boosting import PROBABILITY, predict_probability
 from riskloom.operators.cleaning import policy_violations
 from riskloom.operators.decisions import actual_and_match, with_outcome_note, with_risk_level
-from riskloom.operators.features import policy_features, select_features
+from riskloom.operators.forest import NODE_COLUMNS, forest_of, forest_probability, node_arrays
+from riskloom.operators.features import derived_columns, parsed_columns, policy_features, select_features
 from riskloom.operators.ranking import decide_top_pct, percentile_cutoff_value
 from riskloom.operators.reference import draw_sample
 from riskloom.schema import DEFAULT_PROFILE, DEFAULT_THRESHOLD, FEATURES, POLICY_COLUMNS, REFERENCE_SAMPLE
@@ -40,6 +45,12 @@ POLICY_SCHEMA = (
 )
 
 
+# Hand-entered policies that carry the trees with them, about 250 KB a row; more go through the model stages.
+FEW_POLICIES = 50
+_FIELDS = [tuple(field.split()) for field in POLICY_SCHEMA.split(", ")]
+_ARROW = {"int": pa.int32(), "double": pa.float64(), "string": pa.string()}
+
+
 def score_probability(df: DataFrame, model: PipelineModel) -> DataFrame:
     """All input columns as they came, plus the claim probability; narrow, no shuffle."""
     own = [F.col(c).alias(f"__in_{c}") for c in df.columns]
@@ -90,6 +101,42 @@ def _entered(value: object, kind: str) -> object:
         return None
 
 
+@lru_cache(maxsize=8)
+def _few_steps(spark: SparkSession, model: PipelineModel, threshold: float, bounds: tuple) -> list[dict[str, Column]]:
+    """The columns of a hand-entered policy's three projections, made once: parsed, derived and scored, decided."""
+    entered = spark.createDataFrame([], POLICY_SCHEMA)
+    parsed = {"reasons": policy_violations(entered, dict(bounds)), **parsed_columns(entered)}
+    nodes = {c: F.lit(None).cast(f"array<{kind}>") for c, kind in NODE_COLUMNS.items()}
+    features = entered.withColumns(parsed).withColumns({**derived_columns(), **nodes})
+    kept = {c: F.col(c) for c in [*POLICY_COLUMNS, "reasons"]}
+    valid = F.size("reasons") == 0
+    prediction = F.when(valid, decide_threshold(F.col(PROBABILITY), threshold))
+    actual = claim_label(F.col("CLAIM_PAID"))
+    decided = {
+        PROBABILITY: F.when(valid, F.col(PROBABILITY)),
+        "prediction": prediction,
+        "risk_level": F.when(valid, risk_label(F.col(PROBABILITY))),
+        "actual_from_claim_paid": actual,
+        "prediction_match": prediction == actual,
+        "outcome_note": outcome_note(F.col("CLAIM_PAID"), prediction),
+    }
+    return [parsed, derived_columns(), {**kept, PROBABILITY: forest_probability(forest_of(model), features)}, {**kept, **decided}]
+
+
+def _score_few(policies: list[dict], model: PipelineModel, threshold: float, bounds: dict, spark: SparkSession) -> DataFrame:
+    """Rows that carry the trees, scored by one expression while the plan is made: no model stages, no job."""
+    nodes = node_arrays(forest_of(model))
+    columns = {c: pa.array([_entered(p.get(c), kind) for p in policies], _ARROW[kind]) for c, kind in _FIELDS}
+    columns |= {c: pa.array([nodes[c]] * len(policies), pa.list_(_ARROW[kind])) for c, kind in NODE_COLUMNS.items()}
+    # An Arrow table of this size becomes a local relation.
+    rows = spark.createDataFrame(pa.table(columns))
+    parsed, derived, scored, decided = _few_steps(spark, model, threshold, tuple(sorted(bounds.items())))
+    rows = rows.withColumns(parsed).withColumns(derived)
+    for step in (scored, decided):
+        rows = rows.select(*[value.alias(name) for name, value in step.items()])
+    return rows
+
+
 def score_policies(
     policies: DataFrame | list[dict],
     model: PipelineModel,
@@ -102,11 +149,13 @@ def score_policies(
     `threshold` may be a stored reference cutoff. Policies that break a rule keep their reasons and get
     no prediction.
     """
+    bounds = bounds or DEFAULT_PROFILE
     if isinstance(policies, list):
-        kinds = dict(field.strip().split()[:2] for field in POLICY_SCHEMA.split(","))
-        rows = [tuple(_entered(p.get(c), kinds[c]) for c in POLICY_COLUMNS) for p in policies]
+        if len(policies) <= FEW_POLICIES:
+            return _score_few(policies, model, threshold, bounds, spark)
+        rows = [tuple(_entered(p.get(c), kind) for c, kind in _FIELDS) for p in policies]
         policies = spark.createDataFrame(rows, POLICY_SCHEMA)
-    checked = policies.withColumn("reasons", policy_violations(policies, bounds or DEFAULT_PROFILE))
+    checked = policies.withColumn("reasons", policy_violations(policies, bounds))
     scored = score_probability(checked, model)
     valid = F.size("reasons") == 0
     decided = scored.withColumns(
