@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 import sys
+import unicodedata
 import zlib
-from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,14 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskloom.llm.frames import small_batches, stored
+from riskloom.llm.text import lowered, span_hashes, text_bytes, word_spans
 
 TOKENIZER = "word_bpe_49k.json"
 MAX_TOKENS = 4096
 END_ID = 1
 # Rows ranked together: rows of one length are split into so many groups at least, more if over this many rows each.
 RANKED_GROUPS, RANKED_ROWS = 64, 100_000
-# Words of a generation that a task keeps.
-KEPT_WORDS = 400_000
+# Words that a task keeps, and slots of the table that finds most of them at once.
+KEPT_WORDS = 800_000
+SLOTS = 1 << 20
+# Words that stay between tasks.
+WORDS_BETWEEN = 150_000
+# Words of letters that are encoded together.
+LOT = 1_000
 
 
 class Lengths:
@@ -129,60 +135,149 @@ def places(plan: list[tuple[list[int], int]]) -> list[tuple[int, int, int, int,
 
 
 class WordTokens:
-    """Ids of whole texts as little-endian 32-bit numbers, each distinct word tokenized once.
+    """Ids of whole texts, each distinct word tokenized once and found again by its 64-bit fingerprint.
 
-    Words end at ASCII blanks and line breaks, which the tokenizer drops; letters followed by marks are
-    looked up as these two. A text with the tokenizer's own markers is tokenized whole. Words are kept
-    in two generations, so that common ones stay known while memory is bounded.
+    Words end at ASCII white space, which the tokenizer drops. It also parts letters, single digits and
+    marks, so an ASCII word is looked up by these, lowered; one with an apostrophe or other characters
+    is looked up as it is. A text with the tokenizer's own markers is tokenized whole. The words known
+    are a few flat arrays; past KEPT_WORDS only those of the current batch stay.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-        self.far = re.compile("[\u0300-\U0010ffff]").search
-        self.marked = re.compile(r"([^\W\d_]+)([^\w\s'’]+)").fullmatch
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) > KEPT_WORDS:
-            self.old, self.known = self.known, {"": b""}
-            words = words | self.batch_words
-        known, old = self.known, self.old
-        unseen = []
-        for word in words:
-            coded = old.get(word)
-            if coded is None:
-                unseen.append(word)
-            else:
-                known[word] = coded
-        # Below U+0300 nothing composes and each letter has its own lower case, so words may be taken apart.
-        split = {}
-        for word in unseen:
-            if word.isascii() or not self.far(word):
-                low = word.lower()
-                split[word] = m.groups() if not low.isalpha() and (m := self.marked(low)) else (low,)
-            else:
-                split[word] = (word,)
-        new = list(set().union(*split.values()).difference(known))
-        for part, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[part] = array("I", coded.ids).tobytes()
-        for word, found in split.items():
-            known[word] = known[found[0]] if len(found) == 1 else known[found[0]] + known[found[1]]
+        # Known words in order of fingerprint: where the ids of each begin in `flat`, and how many they are.
+        self.keys, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+        self._place()
+
+    def shrink(self, most: int) -> None:
+        """Keeps the words learned first, which are the commonest, between tasks."""
+        if len(self.keys) > most:
+            self._keep(np.sort(np.argpartition(self.starts, most)[:most]))
+            self._place()
+
+    def _keep(self, stay: np.ndarray) -> None:
+        """Forgets all words but those at these places."""
+        take = _runs(self.starts[stay], self.sizes[stay])
+        self.flat, self.sizes, self.keys = self.flat[take], self.sizes[stay], self.keys[stay]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def _place(self) -> None:
+        """A word of each slot, so that most are found without a search."""
+        self.slot = np.zeros(SLOTS, np.int32)
+        self.slot[(self.keys & np.uint64(SLOTS - 1)).astype(np.int64)] = np.arange(len(self.keys), dtype=np.int32)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key among the known ones, -1 where it is none."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = self.slot[(keys & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.int64)
+        other = np.flatnonzero(self.keys[at] != keys)
+        found = np.minimum(np.searchsorted(self.keys, keys[other]), len(self.keys) - 1)
+        at[other] = np.where(self.keys[found] == keys[other], found, -1)
+        return at
+
+    def _learn(self, keys: np.ndarray, words: list[str], used: np.ndarray) -> None:
+        """Takes new words in; `used` are the places of the known ones that must stay."""
+        if len(self.keys) + len(keys) > KEPT_WORDS:
+            self._keep(np.unique(used))
+        new, starts, sizes = self._encoded(words)
+        starts += len(self.flat)
+        self.flat = np.concatenate([self.flat, new])
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.starts, self.sizes = (np.insert(a, at, b) for a, b in ((self.keys, keys), (self.starts, starts), (self.sizes, sizes)))
+        self._place()
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words in some order, and where those of each word begin and how many they are."""
+        letters = [i for i, w in enumerate(words) if w.isascii() and w.isalpha() or self._letters(w)]
+        lots = [letters[i : i + LOT] for i in range(0, len(letters), LOT)]
+        order, ids, sizes = [], [], []
+        alone = set(range(len(words))).difference(letters)
+        # Words of letters alone are encoded many at a time: each is one word of the tokenizer.
+        for lot, found in zip(lots, self.tokenizer.encode_batch([" ".join([words[i] for i in lot]) for lot in lots], add_special_tokens=False), strict=True):
+            owner = np.array(found.word_ids)
+            ends = np.append(np.flatnonzero(np.diff(owner)) + 1, len(owner))
+            if len(ends) != len(lot):  # it sees other letters than Python does
+                alone.update(lot)
+                continue
+            order += lot
+            ids.append(np.array(found.ids, np.uint32))
+            sizes.append(np.diff(ends, prepend=0))
+        rest = sorted(alone)
+        coded = [c.ids for c in self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)]
+        ids.append(np.fromiter(chain.from_iterable(coded), np.uint32))
+        sizes.append(np.fromiter(map(len, coded), np.int64, len(coded)))
+        size, place = np.concatenate(sizes), np.array([*order, *rest], np.int64)
+        starts, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[place], counts[place] = np.cumsum(size) - size, size
+        return np.concatenate(ids), starts, counts
+
+    @staticmethod
+    def _letters(word: str) -> bool:
+        """Whether a word stays one run of letters when it is composed and lowered."""
+        return unicodedata.is_normalized("NFC", word) and (low := word.lower()).isalpha() and unicodedata.is_normalized("NFC", low)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and where each text's begin."""
+        data, at = text_bytes(texts)
+        begins, ends, parted = _parts(data, *word_spans(data, at)[:2])
+        first = np.searchsorted(begins, at)
+        keys = span_hashes(parted, begins, ends)
+        place = self._find(keys)
+        if (missing := np.flatnonzero(place < 0)).size:
+            new, where = np.unique(keys[missing], return_index=True)
+            spans = [(int(begins[i]), int(ends[i])) for i in missing[where]]
+            self._learn(new, [parted[b:e].tobytes().decode() for b, e in spans], place[place >= 0])
+            place = self._find(keys)
+        sizes = self.sizes[place] if len(place) else np.zeros(0, np.int64)
+        bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])[first]
+        flat = self.flat[_runs(self.starts[place], sizes)] if len(place) else np.zeros(0, np.uint32)
+
+        mark = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+        whole = {int(i) for i in np.searchsorted(at, mark, "right") - 1 if np.any((mark >= at[i]) & (mark + 1 < at[i + 1]))}
+        if whole:
+            parts = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            for i in whole:
+                parts[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
+            flat, bounds = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        return flat, bounds
 
     def batch(self, texts: list[str]) -> Iterator[bytes]:
-        whole = {i for i, t in enumerate(texts) if "<|" in t}
-        words = [[] if i in whole else t.replace("\n", " ").split(" ") for i, t in enumerate(texts)]
-        self.batch_words = set().union(*words)
-        if missing := self.batch_words - self.known.keys():
-            self._learn(missing)
-        find = self.known.__getitem__
-        for i, ws in enumerate(words):
-            if i in whole:
-                yield array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
-            else:
-                yield b"".join(map(find, ws))
+        """Ids of each text as little-endian 32-bit numbers."""
+        flat, bounds = self.ids(pa.array(texts, pa.string()))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield flat[a:b].astype("<u4").tobytes()
+
+
+def _parts(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of what is looked up, and the bytes with ASCII words lowered."""
+    kind = np.full(128, 3, np.uint8)
+    kind[48:58] = 2
+    kind[65:91] = kind[97:123] = 1
+    ascii_only = data < 128
+    of = kind[np.where(ascii_only, data, 0)]
+    odd = np.concatenate([np.zeros(1, np.int64), np.cumsum(~ascii_only | (data == ord("'")))])
+    plain = odd[ends] == odd[begins]
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[begins[plain]] += 1
+    inside[ends[plain]] -= 1
+    inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+    start = np.zeros(len(data) + 1, bool)
+    start[1:-1] = inside[1:] & ((of[1:] != of[:-1]) | (of[1:] == 2))
+    start[begins] = True
+    stop = start.copy()
+    stop[ends] = True
+    low = np.flatnonzero(start)
+    bounds = np.flatnonzero(stop)
+    return low, bounds[np.searchsorted(bounds, low, "right")], np.where(inside, lowered(data), data)
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all runs, one run after another."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -209,23 +304,29 @@ def token_pieces(
     small_batches(documents.sparkSession)
 
     def cut(batches):
-        # A worker process keeps its words from task to task.
+        # A worker process keeps common words from task to task, and no more, as other stages need its memory.
         coder = vars(sys).setdefault("_word_tokens", {}).get(path) or WordTokens(path)
         vars(sys)["_word_tokens"][path] = coder
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            rows: list[tuple] = []
-            for i, ids in enumerate(coder.batch([t or "" for t in texts])):
-                ids += END_ID.to_bytes(4, "little")
-                for piece, start in enumerate(range(0, len(ids) // 4, most)):
-                    part = ids[4 * start : 4 * (start + most)]
-                    rows.append((i, piece, start, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            arrays = [batch.column(0).take(pa.array(columns[0], pa.int32()))]
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            arrays += [pa.array(c, t) for c, t in zip(columns[1:], kinds, strict=True)]
+            flat, bounds = coder.ids(batch.column(1))
+            flat = np.insert(flat, bounds[1:], END_ID).astype("<u4")
+            sizes = np.diff(bounds) + 1
+            bounds = bounds + np.arange(len(bounds))
+            count = -(-sizes // most)
+            row = np.repeat(np.arange(len(sizes)), count)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            start = piece * most
+            length = np.minimum(most, sizes[row] - start)
+            view = memoryview(flat).cast("B")
+            low = 4 * (bounds[row] + start)
+            parts = [view[a : a + n] for a, n in zip(low.tolist(), (4 * length).tolist(), strict=True)]
+            arrays = [batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length)]
+            arrays.append(pa.array([zlib.crc32(p) for p in parts], pa.int64()))
+            if keep_ids:
+                arrays.append(pa.array([bytes(p) for p in parts], pa.binary()))
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            yield pa.RecordBatch.from_arrays(arrays[: 6 if keep_ids else 5], names[: 6 if keep_ids else 5])
+            yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
+        coder.shrink(WORDS_BETWEEN)
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
     return documents.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(cut, schema)
