@@ -15,10 +15,11 @@ BROADCAST_ROWS = 500_000
 ARROW_ROWS = 512
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Compute once into Parquet in the shared folder and read from there: lineage ends, columns stay prunable."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.option("compression", compression) if compression else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from riskloom.llm import frames
 from riskloom.llm.components import components
-from riskloom.llm.frames import maybe_broadcast, small_batches, stored
+from riskloom.llm.frames import maybe_broadcast, small_batches
 from riskloom.llm.text import BASE, distinct, mix, ragged, shingle_sets
 
 # Similarity as a share of whole numbers, so that no rounding decides.
@@ -23,9 +25,15 @@ COMMON_SHARE, COMMON_LEAST = 0.01, 8
 # Members of a bucket that one tree holds; larger buckets are cut by size into such chunks.
 TREE_ROWS = 1_024
 LEAF, FAN = 8, 8
-# Partners of other groups that a row proposes in the first round of trees; each round takes so many times as many.
-FIRST_PARTNERS = 32
+# Partners of other groups that a row proposes in the first round of trees; each round takes MORE_PARTNERS times as many.
+FIRST_PARTNERS, MORE_PARTNERS = 8, 32
+# Least-named sets of its buckets that a row is compared with before any tree is built.
+REPRESENTATIVES = 4
+# So many first buckets of a row travel with it, to tell whether a pair has met in an earlier one.
+OWN_MOST = 16
 BITS_MOST = 1 << 15
+# Rounds of trees leave many tables behind.
+stored = partial(frames.stored, compression="zstd")
 
 
 def prefix_length(n: int) -> int:
@@ -273,26 +281,42 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFram
 
 
 def _candidates(units: DataFrame, limit: int) -> DataFrame:
-    """(u, v, unit): for each row of a unit, the `limit` likeliest partners of other groups; unit: set if some were left out."""
+    """(u, v, unit): for each row of a unit, the `limit` likeliest partners of other groups; unit: set if some were left out.
+
+    A bucket leaves a pair out if both rows' lists of first buckets show an earlier one that they share:
+    so the first shared bucket of all puts it out, and hardly any other. A row and its representatives
+    have been compared before.
+    """
 
     def join(rows: list[tuple]):
         rows.sort(key=lambda r: (r[3], r[4], r[2]))
-        ids = np.array([r[2] for r in rows], np.int64)
+        ids = [r[2] for r in rows]
         side = np.array([r[1] for r in rows])
+        own = [frozenset(r[7]) for r in rows]
+        met = [frozenset(r[8] or ()) for r in rows]
         found = tree_join(
             np.array([r[3] for r in rows]), np.array([r[4] for r in rows]), [np.frombuffer(r[5], np.uint8) for r in rows],
             side if side.max() else None,
         )
-        groups = [r[4] for r in rows]
-        best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
+        best: dict[int, list[tuple[float, int]]] = {}
+        cut: set[int] = set()
         for i, j, bound in found:
+            if ids[j] in met[i] or ids[i] in met[j]:
+                continue
+            if (shared := own[i] & own[j]) and min(shared) < rows[i][6]:
+                continue
             # Each link that joins two groups is met from the side of the row with the larger id.
             x, y = (i, j) if ids[i] > ids[j] else (j, i)
-            best.setdefault((x, groups[y]), []).append((-bound, int(ids[y]), int(ids[x])))
-        for partners in best.values():
+            partners = best.setdefault(x, [])
+            partners.append((-bound, ids[y]))
+            if len(partners) >= 4 * limit:
+                partners.sort()
+                del partners[limit:]
+                cut.add(x)
+        for x, partners in best.items():
             partners.sort()
-            for _, v, u in partners[:limit]:
-                yield u, v, rows[0][0] if len(partners) > limit else None
+            for _, v in partners[:limit]:
+                yield ids[x], v, rows[0][0] if x in cut or len(partners) > limit else None
 
     def read(batches):
         unit, held = None, []
@@ -312,11 +336,12 @@ def _candidates(units: DataFrame, limit: int) -> DataFrame:
         if held:
             yield emit()
 
-    return units.select("unit", "side", "node", "n", "group", "bits").mapInArrow(read, "u long, v long, unit long")
+    columns = ["unit", "side", "node", "n", "group", "bits", "bucket", "own", "reps"]
+    return units.select(*columns).mapInArrow(read, "u long, v long, unit long")
 
 
 def _units(hits: DataFrame, groups: DataFrame, bits: DataFrame, again: DataFrame | None) -> DataFrame:
-    """Buckets with rows of several groups, as units (unit, side, node, n, group, bits) of bounded size.
+    """Buckets with rows of several groups, as units of bounded size: rows with what `_candidates` reads.
 
     A bucket of more than TREE_ROWS rows is sorted by size and cut into chunks, the top nodes of its
     tree; two chunks make a unit if their sizes can match and they aren't wholly of one group. With `again`, only its units.
@@ -325,7 +350,9 @@ def _units(hits: DataFrame, groups: DataFrame, bits: DataFrame, again: DataFrame
     rows = rows.select("bucket", "node", "n", F.coalesce("component", "node").alias("group"))
     mixed = rows.groupBy("bucket").agg(F.count("*").alias("count"), F.min("group").alias("a"), F.max("group").alias("b")).filter("a <> b")
     rows = stored(rows.join(mixed.select("bucket", "count"), "bucket"), "mixed")
-    small = rows.filter(F.col("count") <= TREE_ROWS).select(F.xxhash64("bucket").alias("unit"), F.lit(0).alias("side"), "node", "n", "group")
+    own = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("bucket")), 1, OWN_MOST).alias("own"))
+    small = rows.filter(F.col("count") <= TREE_ROWS)
+    small = small.select(F.xxhash64("bucket").alias("unit"), F.lit(0).alias("side"), "bucket", "node", "n", "group")
     half = TREE_ROWS // 2
     at = F.row_number().over(Window.partitionBy("bucket").orderBy("n", "node"))
     large = stored(rows.filter(F.col("count") > TREE_ROWS).withColumn("chunk", F.floor((at - 1) / half)), "chunks")
@@ -337,11 +364,11 @@ def _units(hits: DataFrame, groups: DataFrame, bits: DataFrame, again: DataFrame
     sides = met.select("bucket", "unit", "chunk", F.lit(0).alias("side")).union(
         met.filter("chunk <> o_chunk").select("bucket", "unit", F.col("o_chunk").alias("chunk"), F.lit(1).alias("side"))
     )
-    cut = large.join(sides, ["bucket", "chunk"]).select("unit", "side", "node", "n", "group")
+    cut = large.join(sides, ["bucket", "chunk"]).select("unit", "side", "bucket", "node", "n", "group")
     units = small.union(cut)
     if again is not None:
         units = units.join(again, "unit", "left_semi")
-    units = units.join(bits, "node")
+    units = units.join(bits.join(own, "node"), "node")
     return units.repartition("unit").sortWithinPartitions("unit")
 
 
@@ -355,10 +382,11 @@ def jaccard_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     An empty table gives an empty one. Shingles are compared by 64-bit fingerprints.
 
     Equal sets are joined once. A row meets others in the buckets of its first shingles in an order
-    with common ones last, a quarter of them, so that every link shares a bucket. Rows first meet their
-    bucket's least-named set, which groups large families; then a signature tree over each bucket that still
-    has rows of several groups finds pairs that may link, and all shingles of both decide. Rounds that
-    took only the likeliest partners are repeated with more until none is left out.
+    with common ones last, a quarter of them, so that every link shares a bucket. Each row first meets a
+    few representatives, of the least-named sets of its buckets those it shares most with, which groups
+    large families; then a signature tree over each bucket that still has rows of several groups finds pairs
+    that may link, and all shingles of both decide. Rounds that took only the likeliest partners are
+    repeated with more until none is left out.
     """
     return _groups(documents, doc_id, text).select("doc_id", "n_shingles", "component_id")
 
@@ -386,32 +414,36 @@ def _groups(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
     hits = stored(_buckets(routed.select(F.explode("prefix").alias("token"), "node", "n")), "hits")
     small_batches(spark)
-    # Buckets of the same rows are one.
+    # Buckets of the same rows are one, of so much more weight.
     stats = hits.groupBy("bucket").agg(F.count("*").alias("c"), F.min("node").alias("pivot"), F.bit_xor(F.xxhash64("node")).alias("who"))
-    stats = stats.groupBy("c", "pivot", "who").agg(F.min("bucket").alias("bucket"))
-    hits = stored(hits.join(stats.select("bucket", "pivot"), "bucket"), "buckets")
+    stats = stats.groupBy("c", "pivot", "who").agg(F.min("bucket").alias("bucket"), F.count("*").alias("weight"))
+    hits = stored(hits.join(stats.select("bucket", "pivot", "weight"), "bucket"), "buckets")
 
+    # A row's representatives: of the least-named sets of its buckets, near enough in size, those of most weight.
     bits = routed.select("node", "bits")
-
-    tried = hits.filter("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"), "n").distinct()
-    size = hits.groupBy("node").agg(F.first("n").alias("m"))
-    tried = tried.join(size.withColumnRenamed("node", "v"), "v")
-    tried = tried.filter(WHOLE * F.least("n", "m") >= PART * F.greatest("n", "m"))
-    tried = stored(_plausible(tried, bits), "tried")
+    met = hits.filter("node <> pivot").groupBy("node", "pivot").agg(F.first("n").alias("n"), F.sum("weight").alias("weight"))
+    size = hits.filter("node = pivot").groupBy("pivot").agg(F.first("n").alias("m"))
+    met = met.join(size, "pivot").filter(WHOLE * F.least("n", "m") >= PART * F.greatest("n", "m"))
+    best = F.slice(F.sort_array(F.collect_list(F.struct("weight", "m", "pivot")), False), 1, REPRESENTATIVES)
+    met = stored(met.groupBy("node", "n").agg(best.alias("best")), "met")
+    bits = bits.join(met.select("node", F.col("best.pivot").alias("reps")), "node", "left")
+    tried = met.select(F.col("node").alias("u"), "n", F.inline("best")).select("u", F.col("pivot").alias("v"), "n", "m")
+    tried = stored(_plausible(tried, routed.select("node", "bits")), "tried")
     edges, limit = stored(_verified(tried, rows, classes), "edges"), FIRST_PARTNERS
     again = None
     while True:
         groups = components(edges)
         found = stored(_candidates(_units(hits, groups, bits, again), limit), "candidates")
         again = stored(found.filter("unit IS NOT NULL").select("unit").distinct(), "again")
-        new = stored(found.select("u", "v").distinct().join(tried, ["u", "v"], "left_anti"), "new")
+        pairs = stored(found.select("u", "v").distinct(), "pairs")
+        new = stored(pairs.join(tried, ["u", "v"], "left_anti"), "new")
         complete, none = again.isEmpty(), new.isEmpty()
         if not none:
             edges, tried = stored(edges.union(_verified(new, rows, classes)), "edges"), tried.union(new)
         if complete:
             groups = groups if none else components(edges)
             break
-        limit *= FIRST_PARTNERS
+        limit *= MORE_PARTNERS
 
     classes = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = classes.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -426,19 +458,19 @@ def keep_one_of_each_group(documents: DataFrame, doc_id: str = "doc_id", text: s
     """The rows, with all columns, whose id is the least of their group; of a group's rows that repeat it, one.
 
     Rows without shingles or without an id are no one's copies and all stay. Each row goes or stays by
-    its own text, also where an id stands on rows with different texts.
+    its own text, also where an id stands on rows with different texts. Columns may have any names.
     """
     groups = stored(_groups(documents, doc_id, text).filter("doc_id IS NOT NULL AND n_shingles > 0"), "groups")
-    dropped = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")).distinct()
+    dropped = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("id"), "key").distinct()
     dropped = stored(dropped, "dropped")
-    least = groups.filter("doc_id = component_id").select("doc_id", "component", "key")
-    repeated = stored(least.groupBy("doc_id", "component").agg(F.count("*").alias("n"), F.collect_set("key").alias("keys")).filter("n > 1"), "repeated")
-    key = _text_key(documents[text])
-    kept = documents.join(maybe_broadcast(dropped, dropped.count()), (documents[doc_id] == F.col("gone")) & (key == F.col("gone_key")), "left_anti")
-    if repeated.isEmpty():
-        return kept
-    again = repeated.select(F.col("doc_id").alias("again"), F.col("component").alias("again_component"), F.explode("keys").alias("again_key"))
-    same = (kept[doc_id] == F.col("again")) & (_text_key(kept[text]) == F.col("again_key"))
-    single = kept.join(again, same, "left_anti")
-    one = kept.join(again, same).dropDuplicates(["again", "again_component"])
-    return single.union(one.select(*(kept[c] for c in documents.columns)))
+    least = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("id"), "component", "key")
+    repeated = stored(least.groupBy("id", "component").agg(F.count("*").alias("n"), F.collect_set("key").alias("keys")).filter("n > 1"), "repeated")
+    # The row travels as one value, so that its columns can't be taken for ours.
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    rows = documents.select(F.struct(*columns).alias("row"), F.col(f"`{doc_id}`").alias("id"), _text_key(F.col(f"`{text}`")).alias("key"))
+    kept = rows.join(maybe_broadcast(dropped, dropped.count()), ["id", "key"], "left_anti")
+    if not repeated.isEmpty():
+        again = repeated.select("id", "component", F.explode("keys").alias("key"))
+        one = kept.join(again, ["id", "key"]).groupBy("id", "component").agg(F.any_value("row").alias("row"))
+        kept = kept.join(again, ["id", "key"], "left_anti").select("row").unionByName(one.select("row"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in documents.columns])
