@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.boilerplate import drop_site_boilerplate
+from riskloom.llm.boilerplate import drop_shared_lines
 from riskloom.llm.decontamination import drop_contaminated
 from riskloom.llm.frames import stored
 from riskloom.llm.packing import pack_documents
@@ -14,12 +14,6 @@ from riskloom.llm.similarity import keep_one_of_each_group
 from riskloom.llm.toxicity import drop_toxic, train_toxicity
 from riskloom.session import skew_safe
 
-# Share of a source's documents, and least number of them, from which a line is boilerplate. Measured at sf0.1
-# (500 documents a source): banners are on 0.8 % and more of a source, other lines mostly on one or two documents.
-SOURCE_RATIO = 0.01
-SOURCE_LEAST = 3
-
-
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the toxicity model, learned from these documents and the labels, scores below 0.5."""
     labels = skew_safe(spark).read.parquet(f"{sf_dir}/labels.parquet")
@@ -27,8 +21,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, without lines on too many documents of their source; n_chars follows the text."""
-    cut = drop_site_boilerplate(docs, "source", "text", ratio=SOURCE_RATIO, min_pages=1, least=SOURCE_LEAST)
+    """All rows, without lines that too many different texts of their source share; n_chars follows the text."""
+    cut = drop_shared_lines(docs, "source", "text")
     length = F.when(F.col("dropped_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", length).select(*docs.columns)
 
