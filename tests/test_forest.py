@@ -1,6 +1,7 @@
 """The trees as one expression: equal to the fitted stages, for any tree, and without a job for a few rows."""
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.operators.boosting import BoostParams, predict_probability, train_boosted
@@ -36,6 +37,21 @@ def test_expression_equals_the_stages(rows, model):
     assert both.select("again").distinct().count() > 10
 
 
+def test_batches_equal_the_stages(rows, model):
+    odd = rows.withColumn("MAKE", F.when(F.crc32("MAKE") % 3 == 0, "never seen").when(F.crc32("MAKE") % 3 == 1, "").otherwise(F.col("MAKE")))
+    odd = odd.withColumn("PREMIUM", F.when(F.col("PREMIUM") > 1500, float("nan")).when(F.col("PREMIUM") < 500, float("inf")).otherwise(F.col("PREMIUM")))
+    both = model.transform(predict_probability(model, materialize(odd)))
+    gap = both.agg(F.max(F.abs(vector_to_array("probability")[1] - F.col("probability_claim"))), F.count("probability_claim")).first()
+    assert gap[0] < 1e-12 and gap[1] == rows.count()
+
+
+def test_a_plan_walks_the_trees_once_a_row(spark, folder, model):
+    scored = score_policies(order_policies(spark, folder), model, 0.4)
+    checked = scored.select("prediction", F.col("probability_claim").between(0, 1), "risk_level", "outcome_note", "reasons")
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "UDF(UDF(" not in plan
+
+
 def test_single_leaf_and_stored_models(spark, rows, tmp_path):
     model = train_boosted(rows.withColumn(LABEL, F.lit(0)), BoostParams(n_estimators=2))
     scored = predict_probability(model, rows.limit(5))
