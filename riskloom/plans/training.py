@@ -16,7 +16,7 @@ from riskloom.operators.metrics import claim_rate, cv_summary, evaluate, model_c
 from riskloom.operators.ordering import row_key
 from riskloom.operators.sampling import stratified_fit_split, stratified_kfold, stratified_sample, stratified_split
 from riskloom.schema import CV_FOLDS, CV_ROWS_MAX, LABEL, MIN_RECALL, SEED, TEST_FRACTION, TRAIN_ROWS_MAX
-from riskloom.session import materialize
+from riskloom.session import materialize, store
 from riskloom.sources.models import save_model
 from riskloom.sources.policies import write_table_csv
 from riskloom.sources.reports import REPORT_SCHEMA, write_report
@@ -39,7 +39,7 @@ def prepare_policies(raw: DataFrame, seed: int = SEED) -> DataFrame:
     """Distinct policies with their key, label and the 24 features, computed once and kept."""
     policies = dedup(raw)
     keyed = with_claim_label(policies.withColumn(KEY, row_key(policies, seed=seed)))
-    return materialize(select_features(policy_features(keyed), KEY, LABEL))
+    return store(select_features(policy_features(keyed), KEY, LABEL))
 
 
 def train_and_evaluate(
@@ -78,7 +78,7 @@ def train_and_evaluate(
     scored = predict_probability(model, test).select(LABEL, PROBABILITY)
     holdout = materialize(evaluate(scored, LABEL, PROBABILITY, threshold))
 
-    cv_rows = materialize(stratified_kfold(train, LABEL, folds, seed, _again(seed, "folds")))
+    cv_rows = store(stratified_kfold(train, LABEL, folds, seed, _again(seed, "folds")))
     cv = materialize(
         cross_validate(cv_rows, threshold, params, folds, max_rows=cv_max_rows, key=_again(seed, "cv"), parallelism=parallelism)
     )
