@@ -52,6 +52,11 @@ def test_a_plan_walks_the_trees_once_a_row(spark, folder, model):
     assert plan.count("ArrowEvalPython") == 1 and "UDF(UDF(" not in plan
 
 
+def test_a_batch_plan_walks_the_trees_once_a_row(spark, folder, model):
+    plan = scoring.score_batch(order_policies(spark, folder), model, 0.4)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.count("UDF(UDF(") for line in plan.split("\n")) == 1
+
+
 def test_single_leaf_and_stored_models(spark, rows, tmp_path):
     model = train_boosted(rows.withColumn(LABEL, F.lit(0)), BoostParams(n_estimators=2))
     scored = predict_probability(model, rows.limit(5))

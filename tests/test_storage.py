@@ -50,7 +50,7 @@ def test_the_top_share_reads_scores_and_not_rows(spark, folder, monkeypatch):
     seen = []
     decide = scoring.decide_top_pct
     monkeypatch.setattr(scoring, "decide_top_pct", lambda df, *rest: seen.append(df) or decide(df, *rest))
-    monkeypatch.setattr(scoring, "score_probability", lambda df, _: df.withColumn(scoring.PROBABILITY, F.rand(1)))
+    monkeypatch.setattr(scoring, "score_probability", lambda df, *_: df.withColumn(scoring.PROBABILITY, F.rand(1)))
     rows = order_policies(spark, folder).select(*spark_queries.ROW_IDS, *spark_queries.POLICY_COLUMNS)
     scored = scoring.score_batch(rows, None, top_percent=10, key=spark_queries._key(rows))
     assert scored.filter("prediction = 1").count() == rows.count() // 10
