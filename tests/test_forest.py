@@ -1,12 +1,16 @@
 """The trees as one expression: equal to the fitted stages, for any tree, and without a job for a few rows."""
 
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.operators.boosting import BoostParams, predict_probability, train_boosted
 from riskloom.operators.features import policy_features, select_features
-from riskloom.operators.forest import Forest, forest_of, forest_probability
+from riskloom.operators.forest import Forest, _margins, _masks, forest_of, forest_probability
 from riskloom.plans import scoring
 from riskloom.plans.scoring import SAMPLE_POLICY, score_policies
 from riskloom.schema import LABEL
@@ -86,3 +90,47 @@ def test_hand_entered_policies_score_alike_in_any_number(spark, model, monkeypat
         p, q = a.pop("probability_claim"), b.pop("probability_claim")
         assert str(a) == str(b) and (p is None) == (q is None) and (p is None or abs(p - q) < 1e-12)
     assert score_policies([], model, spark=spark).count() == 0
+
+
+@pytest.mark.parametrize("depth", [0, 1, 4, 6, 8, 10])
+def test_open_leaves_lead_where_a_walk_leads(depth):
+    """Each tree's value for a row, lopsided trees, slots that the vectors lack and more leaves than a word has bits included."""
+    draw, labels = random.Random(depth), [["a", "b", "c"], ["x"]]
+    forest = Forest(["p", "q"], [0.0, 0.0], ["m", "u"], ["a", "x"], labels)
+
+    def lines(level: int) -> list[str]:
+        if level == depth or level and draw.random() < 0.1:
+            return [f"Predict: {draw.uniform(-1, 1)}"]
+        slot = draw.randrange(8)  # two numbers, four categories, two that the vectors lack
+        test = f"in {{{draw.choice(['0.0', '1.0'])}}}" if slot >= 2 else f"<= {draw.choice([-1.5, 0.0, 2.0])}"
+        return [f"If (feature {slot} {test})", *lines(level + 1), "Else", *lines(level + 1)]
+
+    for _ in range(4):
+        forest.add_tree(lines(0), draw.random())
+    rows = [(p, q, m, u) for p in (-1.5, -1.0, 0.0, 1.0, 2.0, 9.0, float("nan")) for q in (-2.0, 2.0, 3.0) for m in "abcd" for u in "xy"]
+
+    def walk(row: tuple, node: int) -> float:
+        while forest.left[node] >= 0:
+            slots = [*row[:2], *[float(row[2] == c) for c in labels[0]], float(row[3] == "x"), 0.0, 0.0]
+            node = forest.left[node] if slots[forest.feature[node]] <= forest.threshold[node] else forest.right[node]
+        return forest.value[node]
+
+    wanted = [sum(weight * walk(row, root) for root, weight in zip(forest.roots, forest.weights)) for row in rows]
+    columns = tuple(pa.array(of) for of in zip(*rows))
+    none = tuple(c.slice(0, 0) for c in columns)
+    got = list(_margins(forest, iter([columns, none])))
+    assert np.abs(got[0] - wanted).max() < 1e-12 and len(got[1]) == 0
+
+
+def test_leaves_are_told_without_room_for_unasked_categories():
+    """A bin for each category that some node asks for and one for all others; before, one for every category a node."""
+    forest = Forest(["p"], [0.0], ["m"], ["0"], [[str(i) for i in range(100_000)]])
+    forest.add_tree(["If (feature 78 in {0.0})", "Predict: 1.0", "Else", "Predict: 2.0"], 1.0)
+    _, names, open_, _ = _masks(forest)
+    assert names == [["77"]] and [of.shape for of in open_] == [(1, 1), (2, 1)]
+
+
+def test_features_run_in_methods_that_the_jvm_compiles(spark, folder):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    policy_features(order_policies(spark, folder))
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
