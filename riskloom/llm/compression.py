@@ -18,6 +18,8 @@ FOLDS, HELD_OUT = 5, 1
 # Entries of a lookup that travels with the tasks: at most 16 bytes each in a table twice as large.
 LOOKUP_GRAMS = 3_000_000
 LOOKUP_WORDS = 500_000
+# Steps of counts by which the commonest are told, for each doubling; and parts that a step is taken in.
+STEPS, SHARES = 16, 1 << 20
 # Keys that a counting task holds before it sends sums on.
 HELD_KEYS = 3_000_000
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -218,6 +220,23 @@ class Table:
         return out
 
 
+def commonest(counts: DataFrame, limit: int) -> DataFrame:
+    """About `limit` rows of those with the largest counts `n`, whole tables of no more rows.
+
+    No rows are ordered, which a limit does in the driver: counts are told apart by their logarithm, and of the
+    last step taken a share goes by a hash of the key.
+    """
+    step = F.floor(STEPS * F.log2("n"))
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()
+    left = limit
+    for last, rows in sorted(((row.step, row.rows) for row in sizes), reverse=True):
+        if rows > left:
+            share = F.pmod(F.xxhash64("key"), F.lit(SHARES)) < left * SHARES // rows
+            return counts.filter((step > last) | (step == last) & share)
+        left -= rows
+    return counts
+
+
 def _slots(df: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
     """A table's arrays, from rows (key, value) that are bounded by their maker."""
     rows = df.toArrow()
@@ -258,9 +277,9 @@ def score_texts(
     total, kinds = sums[0] + ends, sums[1] + (ends > 0)
 
     n_grams = costs.count()
-    by_count = costs if n_grams <= lookup_grams else costs.join(grams.select("key", "n"), "key").orderBy(F.desc("n"), "key").limit(lookup_grams)
+    by_count = costs if n_grams <= lookup_grams else costs.join(commonest(grams.select("key", "n"), lookup_grams), "key")
     near = spark.sparkContext.broadcast(
-        (_slots(by_count.select("key", "cost")), _slots(words.filter("n > 1").orderBy(F.desc("n"), "key").limit(lookup_words).select("key", "train")))
+        (_slots(by_count.select("key", "cost")), _slots(commonest(words.filter("n > 1"), lookup_words).select("key", "train")))
     )
     share = float(total) + 0.5 * (kinds + 1)
     out = (
@@ -295,6 +314,8 @@ def score_texts(
 
     scored = rows.select("doc_id", "held_out", "text").mapInArrow(score, out)
     scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    # Nothing reads the lookups again, which else stay in the driver's memory.
+    near.destroy()
     rare = scored.select("row", F.explode("words").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     rare = rare.join(words.select("key", "train"), "key")
     part = F.col("times") * F.log10((F.col("train") + 0.5) / F.lit(share))

@@ -10,6 +10,7 @@ import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
 
+from riskloom.llm import compression
 from riskloom.llm.boilerplate import drop_site_boilerplate
 from riskloom.llm.catalog import ORACLES, QUERIES
 from riskloom.llm.components import components
@@ -438,3 +439,20 @@ def test_pipeline_stages(spark, folder):
     assert groups.filter("n_shingles > 0 AND doc_id <> component_id").isEmpty()
     assert find_contaminated(docs, spark.read.parquet(f"{folder}/benchmark.parquet")).isEmpty()
     assert corpus_pipeline.run(spark, folder).agg(F.count("*")).first()[0] == out.count()
+
+
+def test_commonest_counts_are_taken_without_an_order(spark):
+    counts = spark.range(20_000).select(F.col("id").alias("key"), F.when(F.col("id") < 300, 1000 - F.col("id")).otherwise(1 + F.col("id") % 2).alias("n"))
+    assert compression.commonest(counts, 20_000).count() == 20_000 and compression.commonest(counts, 0).count() == 0
+    some = compression.commonest(counts, 5_000)
+    assert abs(some.count() - 5_000) < 300 and some.filter("n > 2").count() == 300 and some.filter("n = 1").isEmpty()
+
+
+def test_lookups_of_scoring_are_not_ordered_in_the_driver(spark, monkeypatch):
+    """A limit after an order brings so many rows of each task to the driver, as objects."""
+    plans, slots = [], compression._slots
+    monkeypatch.setattr(compression, "_slots", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or slots(df))
+    rows = [(i, f"w{i % 7} and w{i % 5} of w{i}") for i in range(60)]
+    scored = score_texts(spark.createDataFrame(rows, "doc_id long, text string"), lookup_grams=20, lookup_words=4)
+    assert scored.count() == 60 and len(plans) == 2
+    assert not any("Limit" in plan or "TakeOrdered" in plan for plan in plans)
