@@ -10,6 +10,7 @@ from riskloom.session import cut_for, skew_safe, store
 from riskloom.sources.order_policies import order_policies
 
 CUTS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+LEAST = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
 
 
 @pytest.fixture
@@ -43,6 +44,24 @@ def test_shuffles_are_cut_by_rows(spark, folder, own_cuts, monkeypatch):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
 
 
+def test_parts_put_together_hold_few_rows(spark, folder, own_cuts, monkeypatch):
+    """However few bytes the rows take in a shuffle; before, 16 MB of them came together."""
+    others = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1", CUTS: "400", "spark.sql.shuffle.partitions": "400"}
+    before = {name: spark.conf.get(name, None) for name in others}
+    try:
+        for name, value in others.items():
+            spark.conf.set(name, value)
+        monkeypatch.setattr(session, "ROWS_PER_CUT", 100)
+        rows = spark_queries._distinct(skew_safe(spark), folder)
+        held = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert held <= 500 < rows.count() / 8
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+        spark.conf.unset(LEAST)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_the_top_share_reads_scores_and_not_rows(spark, folder, monkeypatch):
     """Ranks are looked for in stored columns; before, each pass read whole checkpointed rows."""
     from riskloom.plans import scoring
