@@ -15,8 +15,9 @@ from riskloom.llm.text import blank_free, lowered, ragged, span_hashes, text_byt
 ORDER = 5
 END = 0xFF
 FOLDS, HELD_OUT = 5, 1
-# Entries of a lookup that travels with the tasks: at most 16 bytes each in a table twice as large.
-LOOKUP_GRAMS = 3_000_000
+# Entries of a lookup that travels with the tasks: 16 bytes each in a table of two to four times as many slots, a power
+# of two. The driver makes it and holds it up to three times while it is sent; rarer grams and words meet in joins.
+LOOKUP_GRAMS = 2_000_000
 LOOKUP_WORDS = 500_000
 # Steps of counts by which the commonest are told, for each doubling; and parts that a step is taken in.
 STEPS, SHARES = 16, 1 << 20
@@ -185,7 +186,7 @@ class Table:
         self.bits = max(4, int(2 * len(keys)).bit_length())
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.values = np.full(1 << self.bits, np.nan)
-        left, slot = np.arange(len(keys)), self._slot(keys)
+        left, slot = np.arange(len(keys), dtype=np.int32), self._slot(keys)
         while len(left):
             free = np.isnan(self.values[slot])
             chosen, own = np.unique(slot[free], return_index=True)
@@ -240,7 +241,10 @@ def commonest(counts: DataFrame, limit: int) -> DataFrame:
 def _slots(df: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
     """A table's arrays, from rows (key, value) that are bounded by their maker."""
     rows = df.toArrow()
-    table = Table(rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_numpy().astype(float))
+    keys, values = rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_numpy()
+    # The driver's memory holds the rows once, beside the table.
+    del rows
+    table = Table(keys, values)
     return table.bits, table.keys, table.values
 
 
