@@ -32,6 +32,8 @@ REPRESENTATIVES = 4
 # So many first buckets of a row travel with it, to tell whether a pair has met in an earlier one.
 OWN_MOST = 16
 BITS_MOST = 1 << 15
+# A token's place in its row is kept in parts of so many to the row; places of a prefix are in the first third.
+PLACES = 256
 # Rounds of trees leave many tables behind.
 stored = partial(frames.stored, compression="zstd")
 
@@ -191,79 +193,102 @@ def _route(documents: DataFrame, common: np.ndarray) -> DataFrame:
     return documents.mapInArrow(read, "node long, n long, prefix array<long>, bits binary")
 
 
-def _sets(documents: DataFrame) -> DataFrame:
+def _texts(documents: DataFrame) -> DataFrame:
+    """(node, text) of the rows that have shingles. Texts shrink in shuffles and files, fingerprints don't."""
+
     def read(batches):
         for batch in batches:
-            sets = [s for s in shingle_sets(batch.column(1)) if len(s)]
-            nodes = [_node(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+            nodes = pa.array([_node(s) for s in shingle_sets(batch.column(1))], pa.int64())
+            yield pa.RecordBatch.from_arrays([nodes, batch.column(1)], ["node", "text"]).filter(nodes.is_valid())
 
-    return documents.mapInArrow(read, "node long, shingles binary")
+    return documents.mapInArrow(read, "node long, text string")
 
 
-def _once(sets: DataFrame, name: str, nodes: int) -> DataFrame:
+def _once(rows: DataFrame, name: str, nodes: int) -> DataFrame:
     """Stored rows, one a node. Rows that repeat an id may bring a node twice; only then is there a shuffle."""
-    rows = stored(sets, name)
+    rows = stored(rows, name)
     return rows if rows.count() == nodes else stored(rows.dropDuplicates(["node"]), name)
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, node, n) from rows (token, node, n): rows of a token, cut where sizes are too far apart to link.
+    """(bucket, node, n) from rows (token, node, n, at): rows of a token, cut where none before can link with one after.
 
-    In order of size, a row can link only within the run of rows of which each is near enough to the
-    one before. Runs of one row are left out; one shuffle, nothing held but the row before.
+    `at` is the token's place in the row's order. Of the first shingle that two linked rows share, each
+    has its overlap left from that place on, which bounds the size of the other: by the place, a row of
+    size n reaches sizes from 3/4 up to 4/3 of n. In order of size, a row can link only within the run of
+    rows of which each is reached by one before. Rows that reach no neighbour, or that none before
+    reaches, are left out; one shuffle, nothing held but the row before.
     """
 
     def read(batches):
-        last, sent, opened = None, False, 0  # the row before this batch, whether it has gone out, its run's first size
+        # Of the row before this batch: itself, whether it has gone out, its run's first size, the size that its token's rows reach.
+        last, sent, opened, reached = None, False, 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
-            token, n = table.column(0).to_numpy(), table.column(2).to_numpy()
-            same = (token[1:] == token[:-1]) & (WHOLE * n[:-1] >= PART * n[1:])
-            keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-            begin = np.maximum.accumulate(np.where(np.concatenate([[False], same]), 0, np.arange(len(n))))
+            token, size = table.column(0).to_numpy(), table.column(2).to_numpy()
+            n = size >> 7
+            at = -(-(size & 127) * n // PLACES)
+            reach = ((PART + WHOLE) * (n - at) - PART * n) // PART
+            one = token[1:] == token[:-1]
+            group = np.concatenate([[0], np.cumsum(~one)]) << 32
+            top = reach.copy()
+            if last is not None:
+                top[0] = max(top[0], reached)
+            top = np.maximum.accumulate(group + top) - group
+            same = np.concatenate([[False], one & (n[1:] <= top[:-1])])
+            begin = np.maximum.accumulate(np.where(same, 0, np.arange(len(n))))
             first = np.where((begin == 0) & (last is not None), opened, n[begin])
+            keep = same & (first <= reach)
+            keep[:-1] |= same[1:] & (n[1:] <= reach[:-1])
+            out = keep.copy()
             if last is not None and sent:
-                keep[0] = False
+                out[0] = False
             bucket = mix(token.view(np.uint64) + first.astype(np.uint64) * BASE).view(np.int64)
-            last, sent, opened = table.slice(len(token) - 1).to_batches()[0], bool(keep[-1]), int(first[-1])
+            last, sent, opened, reached = table.slice(len(token) - 1).to_batches()[0], bool(keep[-1]), int(first[-1]), int(top[-1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[keep]), pa.array(table.column(1).to_numpy()[keep]), pa.array(n[keep])], ["bucket", "node", "n"]
+                [pa.array(bucket[out]), pa.array(table.column(1).to_numpy()[out]), pa.array(n[out])], ["bucket", "node", "n"]
             )
 
-    ordered = rows.select("token", "node", "n").repartition("token").sortWithinPartitions("token", "n")
+    # Size and place, rounded down, in one small number: most tokens stand in one row, and all of them are shuffled.
+    size = (F.shiftleft(F.col("n"), 7) + F.expr(f"at * {PLACES} div n")).alias("size")
+    ordered = rows.select("token", "node", size).repartition("token").sortWithinPartitions("token", "size")
     return ordered.mapInArrow(read, "bucket long, node long, n long")
 
 
 def _plausible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
-    """The pairs (u, n, v, m) that their bitmaps leave possible, as (u, v)."""
+    """The pairs (u, n, v, m, rank) that their bitmaps leave possible, as (u, v, rank)."""
 
     def read(batches):
         for batch in batches:
             kept = []
-            for n, m, a, b in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True):
+            for n, m, a, b in zip(*(batch.column(k).to_pylist() for k in (3, 4, 5, 6)), strict=True):
                 a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
                 width = min(len(a), len(b))
                 a, b = fold(a, width), fold(b, width)
                 spare = min(n - int(np.bitwise_count(a).sum()), m - int(np.bitwise_count(b).sum()))
                 kept.append((PART + WHOLE) * (int(np.bitwise_count(a & b).sum()) + spare) >= PART * (n + m))
-            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+            yield batch.select([0, 1, 2]).filter(pa.array(kept, pa.bool_()))
 
     full = pairs.join(bits.select(F.col("node").alias("v"), F.col("bits").alias("right")), "v")
     full = full.join(bits.select(F.col("node").alias("u"), F.col("bits").alias("left")), "u")
-    return full.select("u", "v", "n", "m", "left", "right").mapInArrow(read, "u long, v long")
+    return full.select("u", "v", "rank", "n", "m", "left", "right").mapInArrow(read, "u long, v long, rank int")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
     """(u, v) of the pairs that are similar enough, by all shingles of both, read anew from their texts."""
 
+    def sets(column):
+        """The set of each text; rows in order of one side repeat its texts."""
+        different = column.dictionary_encode()
+        every = shingle_sets(different.dictionary)
+        return [every[i] for i in different.indices.to_pylist()]
+
     def read(batches):
         for batch in batches:
             hits = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            for a, b in zip(sets(batch.column(2)), sets(batch.column(3)), strict=True):
                 if len(a) > len(b):
                     a, b = b, a
                 both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
@@ -274,12 +299,25 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFram
     wanted = stored(classes.join(nodes, "node").select("node", F.col("first").alias("doc_id")), "wanted")
     count = wanted.count()
     texts = rows.join(maybe_broadcast(wanted.select("doc_id"), count), "doc_id", "left_semi")
-    sets = _once(_sets(texts), "sets", count)
-    full = pairs.select("u", "v").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("right")), "v")
-    full = full.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("left")), "u")
+    texts = _once(_texts(texts), "texts", count)
+    full = pairs.select("u", "v").join(texts.select(F.col("node").alias("v"), F.col("text").alias("right")), "v")
+    full = full.join(texts.select(F.col("node").alias("u"), F.col("text").alias("left")), "u")
     return full.select("u", "v", "left", "right").mapInArrow(read, "u long, v long")
 
 
+def _met_representatives(tried: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (u, v) of the pairs (u, v, rank): each row's best first, others only where these have not joined both."""
+    best = tried.groupBy("u").agg(F.min_by("v", "rank").alias("v"))
+    edges = stored(_verified(best, rows, classes), "edges")
+    groups = components(edges)
+    rest = tried.select("u", "v").join(best, ["u", "v"], "left_anti")
+    for end in ("u", "v"):
+        rest = rest.join(groups.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in")), end, "left")
+    rest = rest.filter(F.coalesce("u_in", "u") != F.coalesce("v_in", "v")).select("u", "v")
+    rest = stored(rest, "rest")
+    return edges if rest.isEmpty() else stored(edges.union(_verified(rest, rows, classes)), "edges")
+
+
 def _candidates(units: DataFrame, limit: int) -> DataFrame:
     """(u, v, unit): for each row of a unit, the `limit` likeliest partners of other groups; unit: set if some were left out.
 
@@ -412,10 +450,11 @@ def _groups(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     firsts = maybe_broadcast(classes.select(F.col("first").alias("doc_id")), n_classes)
     routed = _once(_route(rows.join(firsts, "doc_id", "left_semi"), np.sort(often.view(np.uint64))), "routed", n_classes)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    hits = stored(_buckets(routed.select(F.explode("prefix").alias("token"), "node", "n")), "hits")
+    hits = stored(_buckets(routed.select(F.posexplode("prefix").alias("at", "token"), "node", "n")), "hits")
     small_batches(spark)
-    # Buckets of the same rows are one, of so much more weight.
+    # Buckets of the same rows are one, of so much more weight; a row alone meets no other.
     stats = hits.groupBy("bucket").agg(F.count("*").alias("c"), F.min("node").alias("pivot"), F.bit_xor(F.xxhash64("node")).alias("who"))
+    stats = stats.filter("c > 1")
     stats = stats.groupBy("c", "pivot", "who").agg(F.min("bucket").alias("bucket"), F.count("*").alias("weight"))
     hits = stored(hits.join(stats.select("bucket", "pivot", "weight"), "bucket"), "buckets")
 
@@ -427,9 +466,11 @@ def _groups(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     best = F.slice(F.sort_array(F.collect_list(F.struct("weight", "m", "pivot")), False), 1, REPRESENTATIVES)
     met = stored(met.groupBy("node", "n").agg(best.alias("best")), "met")
     bits = bits.join(met.select("node", F.col("best.pivot").alias("reps")), "node", "left")
-    tried = met.select(F.col("node").alias("u"), "n", F.inline("best")).select("u", F.col("pivot").alias("v"), "n", "m")
+    tried = met.select(F.col("node").alias("u"), "n", F.posexplode("best").alias("rank", "best"))
+    tried = tried.select("u", F.col("best.pivot").alias("v"), "n", F.col("best.m").alias("m"), "rank")
     tried = stored(_plausible(tried, routed.select("node", "bits")), "tried")
-    edges, limit = stored(_verified(tried, rows, classes), "edges"), FIRST_PARTNERS
+    edges, limit = _met_representatives(tried, rows, classes), FIRST_PARTNERS
+    tried = tried.select("u", "v")
     again = None
     while True:
         groups = components(edges)
