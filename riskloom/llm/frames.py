@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def release_memory() -> None:
+    """Gives what a Python worker has freed back to the system; the process stays for later tasks, beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library than glibc
+        pass
+
+
 @contextmanager
 def bounded_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
     """`small_batches` for what is computed inside; the caller's settings are back afterwards, errors or not."""

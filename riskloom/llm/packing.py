@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import unicodedata
 import zlib
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskloom.llm.frames import small_batches, stored
+from riskloom.llm.frames import release_memory, small_batches, stored
 from riskloom.llm.text import lowered, span_hashes, text_bytes, word_spans
 
 TOKENIZER = "word_bpe_49k.json"
@@ -304,6 +305,8 @@ def token_pieces(
     small_batches(documents.sparkSession)
 
     def cut(batches):
+        # One thread a task: each thread of the tokenizer would keep memory of its own in every worker.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         # A worker process keeps common words from task to task, and no more, as other stages need its memory.
         coder = vars(sys).setdefault("_word_tokens", {}).get(path) or WordTokens(path)
         vars(sys)["_word_tokens"][path] = coder
@@ -327,6 +330,7 @@ def token_pieces(
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
         coder.shrink(WORDS_BETWEEN)
+        release_memory()
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
     return documents.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(cut, schema)

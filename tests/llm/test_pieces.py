@@ -1,6 +1,8 @@
 """Pieces of the given documents against a plain tokenization and cut."""
 
+import os
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -39,3 +41,19 @@ def test_parted_words_encode_like_whole_texts(monkeypatch):
         for i, found in enumerate(tokenizer.encode_batch([t or "" for t in part], add_special_tokens=False)):
             assert flat[bounds[i] : bounds[i + 1]].tolist() == found.ids, part[i]
     assert coder.ids(pa.array([], pa.string()))[0].size == 0
+
+
+def test_a_task_tokenizes_by_one_thread_and_gives_memory_back(spark, monkeypatch):
+    """Takes the task's own function and runs it here."""
+    tasks, released, threads, encoded = [], [], [], WordTokens._encoded
+    documents = spark.createDataFrame([(1, "some words of a text")], "doc_id long, text string")
+    with monkeypatch.context() as patch:
+        patch.setattr(type(documents), "mapInArrow", lambda self, task, schema: tasks.append(task) or self)
+        token_pieces(documents)
+    monkeypatch.setattr(packing, "release_memory", lambda: released.append(True), raising=False)
+    monkeypatch.setattr(WordTokens, "_encoded", lambda self, words: threads.append(os.environ["TOKENIZERS_PARALLELISM"]) or encoded(self, words))
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    monkeypatch.setitem(vars(sys).setdefault("_word_tokens", {}), tokenizer_path(), None)
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words of a text"])], ["doc_id", "text"])
+    assert sum(b.num_rows for b in tasks[0](iter([batch]))) == 1
+    assert threads == ["false"] and released == [True]
