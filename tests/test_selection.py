@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.operators import boosting, selection
-from riskloom.operators.boosting import BoostParams, cross_validate, train_boosted, tune
+from riskloom.operators.boosting import PROBABILITY, BoostParams, cross_validate, predict_probability, train_boosted, tune
 from riskloom.operators.ordering import row_key
 from riskloom.operators.preparation import learn_preparation, medians, preparation_stages
 from riskloom.operators.ranking import percentile_cutoff_value, top_segments
@@ -204,6 +204,22 @@ def test_candidates_share_one_preparation(spark, monkeypatch):
     assert alone.stages[-1].toDebugString.split("\n")[1:] == model.stages[-1].toDebugString.split("\n")[1:]
 
 
+def test_candidates_score_validation_rows_in_one_pass(spark, monkeypatch):
+    """Before, the vectors of all validation rows were kept and each candidate read them again."""
+    kept, ranked = [], []
+    keep, rank = boosting.materialize, boosting.pr_auc
+    monkeypatch.setattr(boosting, "materialize", lambda df: (kept.append(df), keep(df))[1])
+    monkeypatch.setattr(boosting, "pr_auc", lambda *a: (ranked.append(a), rank(*a))[1])
+    df = _policies(spark)
+    fit, valid = df.filter("fold < 2"), df.filter("fold = 2")
+    grid = [BoostParams(n_estimators=n, max_depth=2) for n in (1, 6)]
+    _, params, value = tune(fit, valid, grid)
+    assert [rows.count() for rows in kept] == [fit.count()] and len(ranked) == 1
+    alone = [rank(predict_probability(train_boosted(fit, p), valid), LABEL, PROBABILITY).first().pr_auc for p in grid]
+    assert value == pytest.approx(max(alone)) and params is grid[alone.index(max(alone))]
+    assert tune(fit, valid.limit(0), grid[:1])[2] == 0.0
+
+
 def test_folds_learn_in_the_same_passes_and_score_every_row(spark, monkeypatch):
     learned = []
     real = boosting.learn_preparation
