@@ -8,9 +8,10 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from riskloom.operators import boosting
 from riskloom.operators.boosting import BoostParams, predict_probability, train_boosted
 from riskloom.operators.features import policy_features, select_features
-from riskloom.operators.forest import Forest, _margins, _masks, forest_of, forest_probability
+from riskloom.operators.forest import Forest, _margins, _masks, dense_vectors, forest_of, forest_probability
 from riskloom.plans import scoring
 from riskloom.plans.scoring import SAMPLE_POLICY, score_policies
 from riskloom.schema import LABEL
@@ -49,6 +50,30 @@ def test_batches_equal_the_stages(rows, model):
     assert gap[0] < 1e-12 and gap[1] == rows.count()
 
 
+@pytest.mark.parametrize("slots", [0, 1000])
+def test_dense_vectors_equal_the_stages(rows, model, monkeypatch, slots):
+    """Rows' vectors have room for each slot; before, a tree's node searched a sparse one. Models of too many slots keep the stages."""
+    odd = rows.withColumn("MAKE", F.when(F.crc32("MAKE") % 3 == 0, "never seen").when(F.crc32("MAKE") % 3 == 1, "").otherwise(F.col("MAKE")))
+    odd = materialize(odd.withColumn("PREMIUM", F.when(F.col("PREMIUM") > 1500, float("nan")).otherwise(F.col("PREMIUM"))))
+    monkeypatch.setattr(boosting, "DENSE_SLOTS", slots)
+    made = []
+    monkeypatch.setattr(boosting, "dense_vectors", lambda *a: (made.append(a), dense_vectors(*a))[1])
+    scored = boosting.stage_probability(model, odd)
+    assert scored.columns == [*odd.columns, "probability_claim"]
+    assert len(made) == (slots > 0)
+    both = model.transform(scored)
+    assert both.filter(vector_to_array("probability")[1] == F.col("probability_claim")).count() == rows.count()
+
+
+def test_dense_vectors_take_the_width_of_the_model(spark):
+    forest = Forest(["p"], [7.0], ["m", "u"], ["b", "x"], [["a", "b"], ["x"]])
+    df = spark.createDataFrame([(1.0, "a", "x"), (None, None, "zzz"), (2.0, "zzz", "")], "p double, m string, u string")
+    whole = [[1.0, 1.0, 0.0, 1.0], [7.0, 0.0, 1.0, 0.0], [2.0, 0.0, 0.0, 1.0]]
+    for width in (2, 4, 6):
+        found = [list(r[0].toArray()) for r in dense_vectors(forest, df, width, "v").select("v").collect()]
+        assert found == [(row + [0.0, 0.0])[:width] for row in whole]
+
+
 def test_a_plan_walks_the_trees_once_a_row(spark, folder, model):
     scored = score_policies(order_policies(spark, folder), model, 0.4)
     checked = scored.select("prediction", F.col("probability_claim").between(0, 1), "risk_level", "outcome_note", "reasons")
